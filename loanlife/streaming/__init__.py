@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The batch program this library re-expresses has no stream, watermark, event-time
+window or stateful operator; its only clock is the integer ``period`` column of a
+monthly panel that is complete when processed.  No streaming operator is built
+(see README, "Not built").
+"""
