@@ -279,3 +279,10 @@ LEFT JOIN loss i ON a.id_loan = i.id_loan
 {chr(10).join(joins)}
 LEFT JOIN md ON a.id_loan = md.id_loan
 LEFT JOIN pd ON a.id_loan = pd.id_loan"""
+
+
+PANEL = f"WITH {LOANS},\n{ORIG},\n{SVCG}"
+
+NUM = _num
+NULLSUM = _nullsum
+MONTH_INDEX = _mi

@@ -104,3 +104,6 @@ def q_default_disposition(spark, sf):
 def q_loan_master(spark, sf):
     orig, svcg = panel(spark, sf)
     return loan_master(svcg, orig)
+
+
+from loanlife.plans import generic_queries as _generic  # noqa: E402,F401  (registers the rest)
