@@ -4,18 +4,33 @@ One window over (id_loan ordered by period, then every other column) computes al
 lags in a single sort.  The order is total once exact duplicate rows are removed,
 so ties on ``period`` resolve the same way on every run: first events take the
 lowest row, the terminal record the highest.
+
+Hot loans.  A window partitioned by loan runs each loan in one task.  Real loans
+are bounded (one row per month), but a loan holding a large share of all rows
+would become one straggler task.  ``hot_keys`` finds loans above a row threshold
+(a partially aggregated count), and those loans take ``lags_split``: the window
+runs per (loan, period), and the lags that cross a period boundary come from a
+per-(loan, period) summary whose own window has one row per loan-month, i.e. is
+bounded by the calendar, not by the data.  Both paths give identical rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlife.functions.exprs import month_diff, ne_null_safe
 
 KEY = "id_loan"
+SUB = "period"
 ORDER_HEAD = ["period", "act_endg_upb"]
 
+# Loans with more rows than this take the split path; at most MAX_HOT of them are
+# routed (by a broadcast of their ids); any further ones stay on the one-window
+# path, which is exact for them too, just not split.
+HOT_ROWS = 20_000
+MAX_HOT = 10_000
+
 # Status rule for 'R' rows one calendar month after the previous row
 # (previous raw status → derived status).
 R_TRANSITIONS = [("5", "6"), ("3", "4"), ("2", "3")]
@@ -23,6 +38,16 @@ R_TRANSITIONS = [("5", "6"), ("3", "4"), ("2", "3")]
 PRIOR_COLUMNS = ["prior_delq_sts", "prior_delq_sts_2", "prior_period", "prior_upb",
                  "prior_int_rt", "prior_frb_upb"]
 
+# lag name → (column, offset); offsets are 1 or 2.
+LAGS = {
+    "_l1_sts": ("delq_sts", 1),
+    "_l2_sts": ("delq_sts", 2),
+    "_l1_upb": ("act_endg_upb", 1),
+    "_l1_period": ("period", 1),
+    "_l1_rate": ("new_int_rt", 1),
+    "_l1_frb": ("amt_non_int_brng_upb", 1),
+}
+
 
 def order_columns(df: DataFrame, key: str = KEY, head=ORDER_HEAD) -> list[str]:
     """Ordering key: ``head`` then every remaining column in schema order."""
@@ -30,9 +55,12 @@ def order_columns(df: DataFrame, key: str = KEY, head=ORDER_HEAD) -> list[str]:
     return head + [c for c in df.columns if c != key and c not in head]
 
 
+def _asc(cols) -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in cols]
+
+
 def loan_window(df: DataFrame, key: str = KEY, head=ORDER_HEAD) -> Window:
-    return Window.partitionBy(key).orderBy(
-        *[F.col(c).asc_nulls_first() for c in order_columns(df, key, head)])
+    return Window.partitionBy(key).orderBy(*_asc(order_columns(df, key, head)))
 
 
 def dedupe_panel(svcg: DataFrame) -> DataFrame:
@@ -45,24 +73,84 @@ def dedupe_panel(svcg: DataFrame) -> DataFrame:
     return svcg.dropDuplicates()
 
 
-def with_priors(df: DataFrame, key: str = KEY) -> DataFrame:
-    """Add ``rn`` (row order within the loan), the prior_* columns, period_diff and
-    delq_sts_new.  ``df`` must be free of exact duplicate rows."""
+def hot_keys(df: DataFrame, key: str = KEY, threshold: int = HOT_ROWS,
+             limit: int = MAX_HOT) -> DataFrame:
+    """Ids of the (at most ``limit``) largest keys with more than ``threshold`` rows.
+
+    The count is partially aggregated in every map task; the result has at most
+    ``limit`` rows, which is what makes it safe to broadcast.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold)
+    return counts.orderBy(F.col("_n").desc(), F.col(key)).limit(limit).select(key)
+
+
+def lags_one_window(df: DataFrame, key: str = KEY) -> DataFrame:
+    """``rn`` and the LAGS columns from one window per key."""
     w = loan_window(df, key)
+    return df.select("*", F.row_number().over(w).alias("rn"),
+                     *[F.lag(c, k).over(w).alias(n) for n, (c, k) in LAGS.items()])
+
+
+def _sub_key(df: DataFrame, sub: str) -> Column:
+    """Integer group key for ``sub`` with NULL mapped below every value (NULLs sort
+    first, as in the one-window order), so that the group window, the summary and
+    the join back all use the same plain equi-key."""
+    t = dict(df.dtypes)[sub]
+    v = F.unix_date(F.col(sub)) if t == "date" else F.col(sub).cast("long")
+    return F.coalesce(v, F.lit(-(2 ** 63)).cast("long"))
+
+
+def lags_split(df: DataFrame, key: str = KEY, sub: str = SUB) -> DataFrame:
+    """Same output as ``lags_one_window`` without a window over a whole key.
+
+    ``sub`` (int or date) must be the leading ordering column.  Within each
+    (key, sub) group a window gives the in-group order and lags; a per-group
+    summary (row count, last row, second-to-last status) is windowed per key over
+    the groups, which adds the row offset and the lags that reach into earlier
+    groups.  Only the summary (one row per key and sub value) is shuffled again.
+    """
+    rest = [c for c in order_columns(df, key) if c != sub]
+    keyed = df.withColumn("_sk", _sub_key(df, sub))
+    wg = Window.partitionBy(key, "_sk").orderBy(*_asc(rest))
+    x = keyed.select(
+        "*", F.row_number().over(wg).alias("_rg"),
+        F.lead(F.lit(1), 1).over(wg).alias("_n1"), F.lead(F.lit(1), 2).over(wg).alias("_n2"),
+        *[F.lag(c, k).over(wg).alias(f"_g{n}") for n, (c, k) in LAGS.items()])
+    last = F.struct(*[F.col(c).alias(c) for c in dict.fromkeys(c for c, _ in LAGS.values())])
+    two_back = sorted({c for c, k in LAGS.values() if k == 2})
+    summary = x.groupBy(key, "_sk").agg(
+        F.count(F.lit(1)).alias("_cnt"),
+        F.max_by(last, F.when(F.col("_n1").isNull(), F.col("_rg"))).alias("_last"),
+        F.max_by(F.struct(*two_back), F.when(F.col("_n1").isNotNull() & F.col("_n2").isNull(),
+                                             F.col("_rg"))).alias("_second"))
+    ws = Window.partitionBy(key).orderBy("_sk")
+    bounds = summary.select(
+        key, "_sk",
+        F.lag("_last", 1).over(ws).alias("_p_last"),
+        F.lag("_second", 1).over(ws).alias("_p_second"),
+        F.lag("_cnt", 1).over(ws).alias("_p_cnt"),
+        F.lag("_last", 2).over(ws).alias("_pp_last"),
+        F.coalesce(F.sum("_cnt").over(ws.rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("_offset"))
+    j = x.join(bounds, [key, "_sk"], "inner")
+    rg = F.col("_rg")
+    out = []
+    for n, (c, k) in LAGS.items():
+        inner = F.col(f"_g{n}")
+        if k == 1:
+            out.append(F.when(rg > 1, inner).otherwise(F.col("_p_last")[c]).alias(n))
+        else:
+            before = F.when(F.col("_p_cnt") >= 2, F.col("_p_second")[c]).otherwise(F.col("_pp_last")[c])
+            out.append(F.when(rg > 2, inner).when(rg == 2, F.col("_p_last")[c]).otherwise(before).alias(n))
+    return j.select(*df.columns, (F.col("_offset") + rg).cast("int").alias("rn"), *out)
+
+
+def priors_from_lags(lagged: DataFrame) -> DataFrame:
+    """prior_* columns, period_diff and delq_sts_new from ``rn`` and the LAGS columns."""
     first = F.col("rn") == 1
-    lagged = df.select(
-        "*",
-        F.row_number().over(w).alias("rn"),
-        F.lag("delq_sts", 1).over(w).alias("_l1_sts"),
-        F.lag("delq_sts", 2).over(w).alias("_l2_sts"),
-        F.lag("act_endg_upb", 1).over(w).alias("_l1_upb"),
-        F.lag("period", 1).over(w).alias("_l1_period"),
-        F.lag("new_int_rt", 1).over(w).alias("_l1_rate"),
-        F.lag("amt_non_int_brng_upb", 1).over(w).alias("_l1_frb"),
-    )
-    upb_type = dict(df.dtypes)["act_endg_upb"]
+    upb_type = dict(lagged.dtypes)["act_endg_upb"]
     priors = lagged.select(
-        *[c for c in lagged.columns if not c.startswith("_l")],
+        *[c for c in lagged.columns if c not in LAGS],
         F.when(first, F.lit("00")).otherwise(F.col("_l1_sts")).alias("prior_delq_sts"),
         F.when(first, F.lit("00")).when(F.col("rn") >= 3, F.col("_l2_sts")).alias("prior_delq_sts_2"),
         F.when(~first, F.col("_l1_period")).alias("prior_period"),
@@ -74,7 +162,35 @@ def with_priors(df: DataFrame, key: str = KEY) -> DataFrame:
     return priors.withColumn("delq_sts_new", delq_state())
 
 
-def delq_state() -> F.Column:
+def with_priors(df: DataFrame, key: str = KEY, split: bool = False) -> DataFrame:
+    """Add ``rn`` (row order within the loan), the prior_* columns, period_diff and
+    delq_sts_new.  ``df`` must be free of exact duplicate rows."""
+    return priors_from_lags(lags_split(df, key) if split else lags_one_window(df, key))
+
+
+def dedupe_and_route(df: DataFrame, key: str = KEY, hot_rows: int | None = HOT_ROWS,
+                     max_hot: int = MAX_HOT) -> tuple[DataFrame, DataFrame | None]:
+    """(deduplicated rows of ordinary keys, deduplicated rows of hot keys or None).
+
+    One pass over the key column finds the hot keys (partial counts, a bounded
+    list).  When there are none (real loan panels), the plan is the plain
+    dedupe.  Otherwise rows are tagged by a broadcast join of the bounded list
+    before one shared dedupe, and split on the aggregated tag: the tag is an
+    aggregate output, so the two branches cannot be pushed below the dedupe and
+    both read the same (reused) exchange.
+    """
+    if hot_rows is None:
+        return dedupe_panel(df), None
+    hot = hot_keys(df, key, hot_rows, max_hot)
+    if hot.isEmpty():
+        return dedupe_panel(df), None
+    tagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
+    deduped = tagged.groupBy(*df.columns).agg(F.max(F.coalesce("_hot", F.lit(False))).alias("_hot"))
+    return (deduped.where(~F.col("_hot")).drop("_hot"),
+            deduped.where(F.col("_hot")).drop("_hot"))
+
+
+def delq_state() -> Column:
     """Derived status: the raw status, except 'R' one month after a raw 2 / 3 / 5,
     which becomes 3 / 4 / 6; any other 'R' is missing."""
     one_month = F.col("period_diff") == 1
@@ -84,8 +200,16 @@ def delq_state() -> F.Column:
     return rule
 
 
-def servicing_detail(svcg: DataFrame, orig: DataFrame, key: str = KEY) -> DataFrame:
+def servicing_detail(svcg: DataFrame, orig: DataFrame, key: str = KEY,
+                     hot_rows: int | None = HOT_ROWS, max_hot: int = MAX_HOT) -> DataFrame:
     """Deduplicated servicing rows of loans present in ``orig`` (inner join for
-    ``orig_upb``), with lags, priors and derived status."""
-    joined = dedupe_panel(svcg).join(dedupe_panel(orig.select(key, "orig_upb")), key, "inner")
-    return with_priors(joined, key)
+    ``orig_upb``), with lags, priors and derived status.  ``hot_rows=None``
+    disables hot-loan routing; ``hot_rows=0`` sends every loan down the split path."""
+    origin = dedupe_panel(orig.select(key, "orig_upb"))
+    normal, heavy = dedupe_and_route(svcg, key, hot_rows, max_hot)
+    detail = with_priors(normal.join(origin, key, "inner"), key)
+    if heavy is not None:
+        # a hot loan's rows meet one origination row: AQE's skew-join handling
+        # splits that partition; the window that follows is per (loan, period)
+        detail = detail.unionByName(with_priors(heavy.join(origin, key, "inner"), key, split=True))
+    return detail

@@ -1,0 +1,65 @@
+"""Hot-loan path: same rows as the one-window path, and a hot loan is actually split."""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+from conftest import frames, orig_row, svcg_row
+from loanlife.operators.detail import dedupe_and_route, hot_keys, servicing_detail
+from loanlife.operators.master import loan_master
+from loanlife.sources.panel import panel
+from test_unit_loans import LOANS
+
+SF = "/root/testdata/sf0.001"
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_split_equals_one_window_on_driver_tables(spark):
+    orig, svcg = panel(spark, SF)
+    assert _rows(servicing_detail(svcg, orig, hot_rows=0)) == _rows(servicing_detail(svcg, orig, hot_rows=None))
+    assert _rows(loan_master(svcg, orig, hot_rows=0)) == _rows(loan_master(svcg, orig, hot_rows=None))
+
+
+def test_split_equals_one_window_on_unit_loans(spark):
+    rows = [svcg_row(k, s) for k, specs in LOANS.items() for s in specs]
+    svcg, orig = frames(spark, rows, [orig_row(k) for k in LOANS])
+    assert _rows(servicing_detail(svcg, orig, hot_rows=0)) == _rows(servicing_detail(svcg, orig, hot_rows=None))
+    assert _rows(loan_master(svcg, orig, hot_rows=0)) == _rows(loan_master(svcg, orig, hot_rows=None))
+
+
+def _hot_panel(spark, months: int = 400, per_month: int = 3):
+    rows = []
+    for i in range(months):
+        y, m = divmod(i, 12)
+        period = (1990 + y) * 100 + m + 1
+        for j in range(per_month):  # restated rows: same month, different balances
+            sts = "R" if i % 7 == 6 else str(i % 6)
+            rows.append(svcg_row("HOT", f"{period}:{1000 - j}:{sts}"))
+    rows += [svcg_row("COLD", "200001:990:1"), svcg_row("COLD", "200002:980:2")]
+    return frames(spark, rows, [orig_row("HOT"), orig_row("COLD")])
+
+
+def test_hot_loan_is_routed_and_exact(spark):
+    svcg, orig = _hot_panel(spark)
+    assert [r[0] for r in hot_keys(svcg, threshold=100).collect()] == ["HOT"]
+    normal, heavy = dedupe_and_route(svcg, hot_rows=100)
+    assert heavy is not None
+    assert {r[0] for r in heavy.select("id_loan").distinct().collect()} == {"HOT"}
+    assert {r[0] for r in normal.select("id_loan").distinct().collect()} == {"COLD"}
+    routed = _rows(servicing_detail(svcg, orig, hot_rows=100))
+    assert routed == _rows(servicing_detail(svcg, orig, hot_rows=None))
+    assert len(routed) == 400 * 3 + 2
+    m = {r["id_loan"]: r for r in loan_master(svcg, orig, hot_rows=100).collect()}
+    assert m["HOT"]["dlq_ever30_upb"] == Decimal("998.00")   # lowest row of the first '1' month
+    assert m["HOT"]["rmng_upb"] == Decimal("1000.00")        # highest row of the last month
+
+
+def test_no_hot_loans_keeps_plain_plan(spark):
+    orig, svcg = panel(spark, SF)
+    normal, heavy = dedupe_and_route(svcg)
+    assert heavy is None
+    p = loan_master(svcg, orig)._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in p and "_hot" not in p and "_sk" not in p
