@@ -20,17 +20,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlife.functions.exprs import month_diff, ne_null_safe
+from loanlife.operators import generic as G
+from loanlife.operators.generic import HOT_ROWS, MAX_HOT, hot_keys
 
 KEY = "id_loan"
 SUB = "period"
 ORDER_HEAD = ["period", "act_endg_upb"]
 
-# Loans with more rows than this take the split path; at most MAX_HOT of them are
-# routed (by a broadcast of their ids); any further ones stay on the one-window
-# path, which is exact for them too, just not split.
-HOT_ROWS = 20_000
-MAX_HOT = 10_000
-
 # Status rule for 'R' rows one calendar month after the previous row
 # (previous raw status → derived status).
 R_TRANSITIONS = [("5", "6"), ("3", "4"), ("2", "3")]
@@ -73,76 +69,14 @@ def dedupe_panel(svcg: DataFrame) -> DataFrame:
     return svcg.dropDuplicates()
 
 
-def hot_keys(df: DataFrame, key: str = KEY, threshold: int = HOT_ROWS,
-             limit: int = MAX_HOT) -> DataFrame:
-    """Ids of the (at most ``limit``) largest keys with more than ``threshold`` rows.
-
-    The count is partially aggregated in every map task; the result has at most
-    ``limit`` rows, which is what makes it safe to broadcast.
-    """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold)
-    return counts.orderBy(F.col("_n").desc(), F.col(key)).limit(limit).select(key)
-
-
 def lags_one_window(df: DataFrame, key: str = KEY) -> DataFrame:
-    """``rn`` and the LAGS columns from one window per key."""
-    w = loan_window(df, key)
-    return df.select("*", F.row_number().over(w).alias("rn"),
-                     *[F.lag(c, k).over(w).alias(n) for n, (c, k) in LAGS.items()])
-
-
-def _sub_key(df: DataFrame, sub: str) -> Column:
-    """Integer group key for ``sub`` with NULL mapped below every value (NULLs sort
-    first, as in the one-window order), so that the group window, the summary and
-    the join back all use the same plain equi-key."""
-    t = dict(df.dtypes)[sub]
-    v = F.unix_date(F.col(sub)) if t == "date" else F.col(sub).cast("long")
-    return F.coalesce(v, F.lit(-(2 ** 63)).cast("long"))
+    """``rn`` and the LAGS columns from one window per loan."""
+    return G.lags_one_window(df, key, _asc(order_columns(df, key)), LAGS)
 
 
 def lags_split(df: DataFrame, key: str = KEY, sub: str = SUB) -> DataFrame:
-    """Same output as ``lags_one_window`` without a window over a whole key.
-
-    ``sub`` (int or date) must be the leading ordering column.  Within each
-    (key, sub) group a window gives the in-group order and lags; a per-group
-    summary (row count, last row, second-to-last status) is windowed per key over
-    the groups, which adds the row offset and the lags that reach into earlier
-    groups.  Only the summary (one row per key and sub value) is shuffled again.
-    """
-    rest = [c for c in order_columns(df, key) if c != sub]
-    keyed = df.withColumn("_sk", _sub_key(df, sub))
-    wg = Window.partitionBy(key, "_sk").orderBy(*_asc(rest))
-    x = keyed.select(
-        "*", F.row_number().over(wg).alias("_rg"),
-        F.lead(F.lit(1), 1).over(wg).alias("_n1"), F.lead(F.lit(1), 2).over(wg).alias("_n2"),
-        *[F.lag(c, k).over(wg).alias(f"_g{n}") for n, (c, k) in LAGS.items()])
-    last = F.struct(*[F.col(c).alias(c) for c in dict.fromkeys(c for c, _ in LAGS.values())])
-    two_back = sorted({c for c, k in LAGS.values() if k == 2})
-    summary = x.groupBy(key, "_sk").agg(
-        F.count(F.lit(1)).alias("_cnt"),
-        F.max_by(last, F.when(F.col("_n1").isNull(), F.col("_rg"))).alias("_last"),
-        F.max_by(F.struct(*two_back), F.when(F.col("_n1").isNotNull() & F.col("_n2").isNull(),
-                                             F.col("_rg"))).alias("_second"))
-    ws = Window.partitionBy(key).orderBy("_sk")
-    bounds = summary.select(
-        key, "_sk",
-        F.lag("_last", 1).over(ws).alias("_p_last"),
-        F.lag("_second", 1).over(ws).alias("_p_second"),
-        F.lag("_cnt", 1).over(ws).alias("_p_cnt"),
-        F.lag("_last", 2).over(ws).alias("_pp_last"),
-        F.coalesce(F.sum("_cnt").over(ws.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_offset"))
-    j = x.join(bounds, [key, "_sk"], "inner")
-    rg = F.col("_rg")
-    out = []
-    for n, (c, k) in LAGS.items():
-        inner = F.col(f"_g{n}")
-        if k == 1:
-            out.append(F.when(rg > 1, inner).otherwise(F.col("_p_last")[c]).alias(n))
-        else:
-            before = F.when(F.col("_p_cnt") >= 2, F.col("_p_second")[c]).otherwise(F.col("_pp_last")[c])
-            out.append(F.when(rg > 2, inner).when(rg == 2, F.col("_p_last")[c]).otherwise(before).alias(n))
-    return j.select(*df.columns, (F.col("_offset") + rg).cast("int").alias("rn"), *out)
+    """Same rows as ``lags_one_window``, split per (loan, ``sub``) (see generic.lags_split)."""
+    return G.lags_split(df, key, sub, _asc(order_columns(df, key)), LAGS)
 
 
 def priors_from_lags(lagged: DataFrame) -> DataFrame:

@@ -46,6 +46,11 @@ def EV_ORDER():
     return [F.col("ts").asc(), F.col("event_id").asc()]
 
 
+def _DAY():
+    """Sub-group for hot users' lags: the event's day (never decreases along ts)."""
+    return ("_day", F.to_date("ts"))
+
+
 def EV_ORDER_DESC():
     return [F.col("ts").desc(), F.col("event_id").desc()]
 
@@ -271,7 +276,7 @@ def q_first_by_bucket(spark, sf):
           "lag(value) OVER w AS prev_value FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)")
 def q_lag1(spark, sf):
     return G.with_lags(_events(spark, sf), "user_id", EV_ORDER(), {
-        "prev_event_type": ("event_type", 1), "prev_value": ("value", 1)}).select(
+        "prev_event_type": ("event_type", 1), "prev_value": ("value", 1)}, split_by=_DAY()).select(
         "event_id", "user_id", "prev_event_type", "prev_value")
 
 
@@ -280,7 +285,7 @@ def q_lag1(spark, sf):
           "WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)")
 def q_lag2(spark, sf):
     return G.with_lags(_events(spark, sf), "user_id", EV_ORDER(), {
-        "prev2_event_type": ("event_type", 2), "prev2_value": ("value", 2)}).select(
+        "prev2_event_type": ("event_type", 2), "prev2_value": ("value", 2)}, split_by=_DAY()).select(
         "event_id", "user_id", "prev2_event_type", "prev2_value")
 
 

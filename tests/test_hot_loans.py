@@ -44,7 +44,7 @@ def _hot_panel(spark, months: int = 400, per_month: int = 3):
 
 def test_hot_loan_is_routed_and_exact(spark):
     svcg, orig = _hot_panel(spark)
-    assert [r[0] for r in hot_keys(svcg, threshold=100).collect()] == ["HOT"]
+    assert [r[0] for r in hot_keys(svcg, "id_loan", threshold=100).collect()] == ["HOT"]
     normal, heavy = dedupe_and_route(svcg, hot_rows=100)
     assert heavy is not None
     assert {r[0] for r in heavy.select("id_loan").distinct().collect()} == {"HOT"}
@@ -63,3 +63,15 @@ def test_no_hot_loans_keeps_plain_plan(spark):
     assert heavy is None
     p = loan_master(svcg, orig)._jdf.queryExecution().executedPlan().toString()
     assert "Union" not in p and "_hot" not in p and "_sk" not in p
+
+
+def test_event_lags_split_by_day_equal_one_window(spark):
+    from pyspark.sql import functions as F
+
+    from loanlife.operators.generic import with_lags
+    ev = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
+    order = [F.col("ts").asc(), F.col("event_id").asc()]
+    lags = {"p1": ("event_type", 1), "p2": ("value", 2), "p1v": ("value", 1)}
+    plain = _rows(with_lags(ev, "user_id", order, lags))
+    split = _rows(with_lags(ev, "user_id", order, lags, split_by=("_day", F.to_date("ts")), hot_rows=0))
+    assert split == plain and len(plain) == ev.count()
