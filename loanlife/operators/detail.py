@@ -96,32 +96,47 @@ def priors_from_lags(lagged: DataFrame) -> DataFrame:
     return priors.withColumn("delq_sts_new", delq_state())
 
 
-def with_priors(df: DataFrame, key: str = KEY, split: bool = False) -> DataFrame:
+def with_priors(df: DataFrame, key: str = KEY, split: bool = False, dedupe: bool = False) -> DataFrame:
     """Add ``rn`` (row order within the loan), the prior_* columns, period_diff and
-    delq_sts_new.  ``df`` must be free of exact duplicate rows."""
-    return priors_from_lags(lags_split(df, key) if split else lags_one_window(df, key))
+    delq_sts_new.  ``df`` must be free of exact duplicate rows unless ``dedupe``
+    (one-window path only: copies are dropped in the same window stage)."""
+    if split:
+        return priors_from_lags(lags_split(df, key))
+    return priors_from_lags(lags_one_window(drop_adjacent_copies(df, key) if dedupe else df, key))
 
 
-def dedupe_and_route(df: DataFrame, key: str = KEY, hot_rows: int | None = HOT_ROWS,
-                     max_hot: int = MAX_HOT) -> tuple[DataFrame, DataFrame | None]:
-    """(deduplicated rows of ordinary keys, deduplicated rows of hot keys or None).
+def drop_adjacent_copies(df: DataFrame, key: str = KEY) -> DataFrame:
+    """Exact duplicate rows removed inside the per-loan window stage.
 
-    One pass over the key column finds the hot keys (partial counts, a bounded
-    list).  When there are none (real loan panels), the plan is the plain
-    dedupe.  Otherwise rows are tagged by a broadcast join of the bounded list
-    before one shared dedupe, and split on the aggregated tag: the tag is an
-    aggregate output, so the two branches cannot be pushed below the dedupe and
-    both read the same (reused) exchange.
+    Sorted by every column, copies of a row are adjacent, so one streaming window
+    that compares each row with its predecessor removes them; it shares the
+    exchange and the sort of the lag window that follows.  (A massive group of
+    copies makes its loan hot by raw row count, and the hot path removes copies
+    with a partial aggregate before any shuffle.)
+    """
+    w = loan_window(df, key)
+    row = F.struct(*df.columns)
+    return (df.select("*", F.lag(row, 1).over(w).alias("_prev"))
+            .where(~F.col("_prev").eqNullSafe(row)).drop("_prev"))
+
+
+def route_hot(df: DataFrame, key: str = KEY, hot_rows: int | None = HOT_ROWS,
+              max_hot: int = MAX_HOT) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary loans, rows of hot loans or None).
+
+    One pass over the key column finds the hot loans (partial counts, a bounded
+    list).  When there are none (real loan panels) nothing else changes in the
+    plan.  Otherwise rows are tagged by a broadcast join of the bounded list,
+    which adds no shuffle.
     """
     if hot_rows is None:
-        return dedupe_panel(df), None
+        return df, None
     hot = hot_keys(df, key, hot_rows, max_hot)
     if hot.isEmpty():
-        return dedupe_panel(df), None
+        return df, None
     tagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-    deduped = tagged.groupBy(*df.columns).agg(F.max(F.coalesce("_hot", F.lit(False))).alias("_hot"))
-    return (deduped.where(~F.col("_hot")).drop("_hot"),
-            deduped.where(F.col("_hot")).drop("_hot"))
+    return (tagged.where(F.col("_hot").isNull()).select(*df.columns),
+            tagged.where(F.col("_hot").isNotNull()).select(*df.columns))
 
 
 def delq_state() -> Column:
@@ -140,10 +155,12 @@ def servicing_detail(svcg: DataFrame, orig: DataFrame, key: str = KEY,
     ``orig_upb``), with lags, priors and derived status.  ``hot_rows=None``
     disables hot-loan routing; ``hot_rows=0`` sends every loan down the split path."""
     origin = dedupe_panel(orig.select(key, "orig_upb"))
-    normal, heavy = dedupe_and_route(svcg, key, hot_rows, max_hot)
-    detail = with_priors(normal.join(origin, key, "inner"), key)
+    normal, heavy = route_hot(svcg, key, hot_rows, max_hot)
+    detail = with_priors(normal.join(origin, key, "inner"), key, dedupe=True)
     if heavy is not None:
-        # a hot loan's rows meet one origination row: AQE's skew-join handling
-        # splits that partition; the window that follows is per (loan, period)
-        detail = detail.unionByName(with_priors(heavy.join(origin, key, "inner"), key, split=True))
+        # copies collapse before the shuffle; a hot loan's rows then meet one
+        # origination row (AQE's skew-join handling splits that partition) and
+        # the window is per (loan, period)
+        heavy_rows = dedupe_panel(heavy).join(origin, key, "inner")
+        detail = detail.unionByName(with_priors(heavy_rows, key, split=True))
     return detail

@@ -5,7 +5,7 @@ from __future__ import annotations
 from decimal import Decimal
 
 from conftest import frames, orig_row, svcg_row
-from loanlife.operators.detail import dedupe_and_route, hot_keys, servicing_detail
+from loanlife.operators.detail import route_hot, hot_keys, servicing_detail
 from loanlife.operators.master import loan_master
 from loanlife.sources.panel import panel
 from test_unit_loans import LOANS
@@ -45,7 +45,7 @@ def _hot_panel(spark, months: int = 400, per_month: int = 3):
 def test_hot_loan_is_routed_and_exact(spark):
     svcg, orig = _hot_panel(spark)
     assert [r[0] for r in hot_keys(svcg, "id_loan", threshold=100).collect()] == ["HOT"]
-    normal, heavy = dedupe_and_route(svcg, hot_rows=100)
+    normal, heavy = route_hot(svcg, hot_rows=100)
     assert heavy is not None
     assert {r[0] for r in heavy.select("id_loan").distinct().collect()} == {"HOT"}
     assert {r[0] for r in normal.select("id_loan").distinct().collect()} == {"COLD"}
@@ -59,7 +59,7 @@ def test_hot_loan_is_routed_and_exact(spark):
 
 def test_no_hot_loans_keeps_plain_plan(spark):
     orig, svcg = panel(spark, SF)
-    normal, heavy = dedupe_and_route(svcg)
+    normal, heavy = route_hot(svcg)
     assert heavy is None
     p = loan_master(svcg, orig)._jdf.queryExecution().executedPlan().toString()
     assert "Union" not in p and "_hot" not in p and "_sk" not in p

@@ -33,16 +33,35 @@ def test_no_python_udf_or_cartesian_anywhere(spark):
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
 
 
-def test_loan_master_shape(spark, static_plans):
-    p = _plan(QUERIES["loan_master"](spark, SF))
-    # panel: dedupe exchange (after a map-side partial aggregate) + one exchange by id_loan;
-    # origination: dedupe exchange + exchange by id_loan.  One window, one join.
-    assert p.count("Exchange hashpartitioning") == 4
+def test_loan_master_shape_on_plain_files(spark, static_plans):
+    """Unpartitioned file sources: the operator's own exchanges."""
+    from loanlife.operators.master import loan_master
+    from loanlife.session import scratch_path
+    from loanlife.sources.panel import panel
+    orig, svcg = panel(spark, SF)
+    po, ps = scratch_path(spark, "orig"), scratch_path(spark, "svcg")
+    orig.write.parquet(po)
+    svcg.write.parquet(ps)
+    p = _plan(loan_master(spark.read.parquet(ps), spark.read.parquet(po)))
+    # panel: one exchange by id_loan (copies dropped in the window stage);
+    # origination: dedupe exchange + exchange by id_loan.  One sort, one join.
+    assert p.count("Exchange hashpartitioning") == 3
     assert p.count("SortMergeJoin") == 1
-    assert p.count("Window [") == 1
-    window_to_agg = p[p.index("SortAggregate"):p.index("Window [")]
+    assert p.count("Window [") == 2  # adjacent-copy filter, then the lags, over one sort
+    window_to_agg = p[p.index("SortAggregate"):p.rindex("Window [")]
     assert "Exchange" not in window_to_agg
-    assert "Sort [" not in window_to_agg
+    assert window_to_agg.count("Sort [") == 0
+    panel_side = p[p.index("SortAggregate"):]
+    assert panel_side.count("Sort [") == 1 and panel_side.count("Exchange") == 1
+
+
+def test_loan_master_shape_on_loan_clustered_panel(spark, static_plans):
+    """The projection partitions the small loan table by id before generating the
+    panel, so only that table is shuffled: no exchange of panel rows at all."""
+    p = _plan(QUERIES["loan_master"](spark, SF))
+    assert p.count("ENSURE_REQUIREMENTS") == 0
+    assert p.count("REPARTITION_BY_NUM") == 2
+    assert p.count("SortMergeJoin") == 1
 
 
 def test_scan_prunes_columns(spark):
