@@ -36,7 +36,8 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
-    spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="loanlife-bench")
+    spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="loanlife-bench",
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
     for n in names:  # warm-up: JIT, file listing, Python imports
         run(spark, n, sf_dir)
     times = {n: round(statistics.median(run(spark, n, sf_dir) for _ in range(repeat)), 3) for n in names}

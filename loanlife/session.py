@@ -23,9 +23,8 @@ RECOMMENDED_CONF = {
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "loanlife", extra: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "8g"))
-    for k, v in {**RECOMMENDED_CONF, **(extra or {})}.items():
+               .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
+    for k, v in {"spark.driver.memory": "8g", **RECOMMENDED_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
