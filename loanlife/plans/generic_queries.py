@@ -75,8 +75,8 @@ def q_typed_parse(spark, sf):
 def q_ingest_by_quarter(spark, sf):
     path = scratch_path(spark, "by_quarter")
     orig = _orig(spark, sf)
-    (orig.write.mode("overwrite").partitionBy("orign_qtr").option("sep", "|")
-     .option("header", "false").csv(path))
+    (orig.hint("rebalance", "orign_qtr").write.mode("overwrite").partitionBy("orign_qtr")
+     .option("sep", "|").option("header", "false").csv(path))
     file_spec = [s for s in PANEL_ORIG_SPEC if s[0] != "orign_qtr"]
     raw = ingest.read_quarterly(spark, path, file_spec)
     return ingest.typed_parse(raw, PANEL_ORIG_SPEC).select(*ORIG_COLUMNS)
