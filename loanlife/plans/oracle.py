@@ -94,7 +94,7 @@ def _detail(src: str, extra_order: str = "") -> str:
     """Detail rows over CTE ``src`` (deduplicated rows)."""
     order = _ORDER + (f", {extra_order} ASC NULLS FIRST" if extra_order else "")
     return f"""lagged AS (
-  SELECT *, row_number() OVER w AS rn,
+  SELECT *, CAST(row_number() OVER w AS INTEGER) AS rn,
     lag(delq_sts, 1) OVER w AS l1_sts, lag(delq_sts, 2) OVER w AS l2_sts,
     lag(act_endg_upb, 1) OVER w AS l1_upb, lag(period, 1) OVER w AS l1_period,
     lag(new_int_rt, 1) OVER w AS l1_rate, lag(amt_non_int_brng_upb, 1) OVER w AS l1_frb

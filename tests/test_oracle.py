@@ -39,6 +39,15 @@ def _digest(cols, rows):
     return hashlib.md5("\n".join(lines).encode()).hexdigest()
 
 
+_SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE",
+                  "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+def _duck_type(spark_type: str) -> str:
+    t = spark_type.lower()
+    return t.upper().replace(" ", "") if t.startswith("decimal") else _SPARK_TO_DUCK.get(t, t.upper())
+
+
 def test_every_query_has_an_oracle():
     assert set(entry.oracle_sql()) == set(entry.queries())
 
@@ -50,6 +59,8 @@ def test_query_matches_oracle(spark, con, name):
     rel = con.sql(entry.oracle_sql()[name])
     orows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
+    otypes = {c: str(t).upper().replace(" ", "") for c, t in zip(rel.columns, rel.types)}
+    assert {c: _duck_type(t) for c, t in df.dtypes} == otypes
     assert len(rows) == len(orows)
     assert _digest(df.columns, rows) == _digest(rel.columns, orows)
 
