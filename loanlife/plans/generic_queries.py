@@ -8,7 +8,6 @@ from loanlife.functions.exprs import (as_number, month_diff, ne_null_safe, nulls
                                       rate_fallback, transition_label, vintage, waterfall)
 from loanlife.operators import generic as G
 from loanlife.operators.detail import PRIOR_COLUMNS
-from loanlife.operators.events import d180_condition
 from loanlife.operators.links import page_links
 from loanlife.plans import oracle as O
 from loanlife.plans.queries import _detail, register
