@@ -36,8 +36,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is configured (a shared file system); it is read
-    from the session and never replaced.  Only when it is unset (local tests)
-    is a private folder created and registered.
+    from the session and never replaced.  Only when it is unset in local mode
+    (tests) is a private folder created and registered; on a cluster an unset
+    folder is an error, since a machine-local folder is not visible to executors.
     """
     sc = spark.sparkContext
     configured = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -45,6 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: point it at a shared folder "
+                           "(HDFS / object store) visible to every executor")
     local = tempfile.mkdtemp(prefix="loanlife-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
