@@ -15,8 +15,16 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.sql import functions as F  # noqa: E402
+
+from loanlife.functions.exprs import waterfall  # noqa: E402
+from loanlife.operators.detail import servicing_detail  # noqa: E402
+from loanlife.operators.events import BUCKETS, bucket_condition, d180_condition, mod_condition  # noqa: E402
+from loanlife.operators.master import loan_master  # noqa: E402
+from loanlife.operators.outcomes import T  # noqa: E402
 from loanlife.plans.queries import QUERIES  # noqa: E402
 from loanlife.session import local_session  # noqa: E402
+from loanlife.sources.panel import panel  # noqa: E402
 
 HEADLINE = [
     "loan_master", "servicing_detail", "dlq_90", "pd_d180", "first_mod", "terminal_record",
@@ -25,9 +33,47 @@ HEADLINE = [
 ]
 
 
+def join_chain_master(spark, sf_dir: str):
+    """The original program's plan shape, for comparison only: per event a filter, a
+    per-loan minimum and a join back (a self-join), the terminal row the same way with
+    the maximum, then a chain of left joins.  Same detail and rules as ``loan_master``,
+    so only the plan shape differs."""
+    orig, svcg = panel(spark, sf_dir)
+    d = servicing_detail(svcg, orig, hot_rows=None)
+
+    def first(cond, ind, upb):
+        x = d.where(cond)
+        m = x.groupBy("id_loan").agg(F.min("rn").alias("rn"))
+        return x.join(m, ["id_loan", "rn"]).select(
+            "id_loan", F.lit(1).alias(ind), waterfall("act_endg_upb", "prior_upb", "orig_upb").alias(upb))
+
+    last = d.join(d.groupBy("id_loan").agg(F.max("rn").alias("rn")), ["id_loan", "rn"])
+    t = T("")
+    trm = last.select("id_loan", t.collateral_deficiency().alias("collateral_deficiency"),
+                      t.current_int_rt().alias("current_int_rt"), t.default_upb().alias("default_upb"),
+                      t.dlq_accrued_interest().alias("dlq_accrued_interest"),
+                      t.prepay_count().alias("prepay_count"), t.default_count().alias("default_count"),
+                      t.prepay_upb().alias("prepay_upb"), t.rmng_upb().alias("rmng_upb"))
+    out = orig.join(trm, "id_loan", "left")
+    for b, name in BUCKETS:
+        out = out.join(first(bucket_condition(b), f"{name}_ind", f"{name}_upb"), "id_loan", "left")
+    out = out.join(first(mod_condition(), "mod_ind", "mod_upb"), "id_loan", "left")
+    return out.join(first(d180_condition(), "pd_d180_ind", "pd_d180_upb"), "id_loan", "left")
+
+
+def one_pass_master(spark, sf_dir: str):
+    """``loan_master`` restricted to the columns the join-chain shape produces."""
+    chain_cols = join_chain_master(spark, sf_dir).columns
+    orig, svcg = panel(spark, sf_dir)
+    return loan_master(svcg, orig).select(*chain_cols)
+
+
+COMPARE = {"loan_master_one_pass": one_pass_master, "loan_master_join_chain": join_chain_master}
+
+
 def run(spark, name: str, sf_dir: str) -> float:
     t0 = time.perf_counter()
-    QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    (QUERIES.get(name) or COMPARE[name])(spark, sf_dir).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - t0
 
 
@@ -41,9 +87,19 @@ def main() -> None:
     for n in names:  # warm-up: JIT, file listing, Python imports
         run(spark, n, sf_dir)
     times = {n: round(statistics.median(run(spark, n, sf_dir) for _ in range(repeat)), 3) for n in names}
+    shape = {}
+    if os.environ.get("BENCH_SHAPES", "0") == "1":  # opt-in: the join chain takes minutes
+        for n in COMPARE:  # warm-up, then median, interleaved to share the machine's noise
+            run(spark, n, sf_dir)
+        runs = {n: [] for n in COMPARE}
+        for _ in range(repeat):
+            for n in COMPARE:
+                runs[n].append(run(spark, n, sf_dir))
+        shape = {n: round(statistics.median(v), 3) for n, v in runs.items()}
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf}))
+                      "queries": times, "plan_shape_comparison": shape,
+                      "sf": float(sf) if sf.replace(".", "").isdigit() else sf}))
     spark.stop()
 
 
