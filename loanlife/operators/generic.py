@@ -58,7 +58,7 @@ def first_rows_with_ties(df: DataFrame, key, order_col: Column | str,
     o = F.col(order_col) if isinstance(order_col, str) else order_col
     tagged = df.withColumn(name, o)
     mins = tagged.groupBy(*keys).agg(F.min(name).alias(name))
-    return tagged.join(mins, keys + [name], "inner").drop(name)
+    return tagged.join(mins, keys + [name], "inner").select(*df.columns)
 
 
 def row_number_first(df: DataFrame, key, order: Sequence[Column], n: int = 1) -> DataFrame:
@@ -223,3 +223,16 @@ def union_all(*dfs: DataFrame) -> DataFrame:
 
 def union_distinct(*dfs: DataFrame) -> DataFrame:
     return union_all(*dfs).dropDuplicates()
+
+
+def union_of_filters(df: DataFrame, conds: Sequence[Column], distinct: bool = False) -> DataFrame:
+    """``df.where(c1) UNION ALL df.where(c2) ...`` in one pass over ``df``.
+
+    A union of filtered views of one relation would compute that relation once
+    per branch; here every row is emitted once per branch it satisfies (an
+    ``explode`` of the matching branch tags), which is the same bag.  With
+    ``distinct`` the copies are then removed (UNION).
+    """
+    tags = F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(i)) for i, c in enumerate(conds)])
+    out = df.select("*", F.explode(F.array_compact(tags)).alias("_branch")).drop("_branch")
+    return out.dropDuplicates() if distinct else out

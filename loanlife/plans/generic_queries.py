@@ -315,21 +315,25 @@ _UNION_SQL = (f"SELECT {_UNION_COLS} FROM detail WHERE delq_sts_new = '6' UNION
               f"AND NOT COALESCE({O.NUM('delq_sts_new')} >= 6, FALSE)")
 
 
-def _union_parts(spark, sf):
-    d = _detail(spark, sf).select(*[c.strip() for c in _UNION_COLS.split(",")])
+def _union_conds():
     severe = F.coalesce(as_number("delq_sts_new") >= 6, F.lit(False))
     early = F.coalesce((F.col("cd_zero_bal") == "03") | (F.col("delq_sts") == "R"), F.lit(False)) & ~severe
-    return d.where(F.col("delq_sts_new") == "6"), d.where(early)
+    return [F.col("delq_sts_new") == "6", early]
+
+
+def _union_detail(spark, sf):
+    return _detail(spark, sf).select(*[c.strip() for c in _UNION_COLS.split(",")])
 
 
 @register("union_all", f"{O.BASE}\n{_UNION_SQL}")
 def q_union_all(spark, sf):
-    return G.union_all(*_union_parts(spark, sf))
+    # D180 rows UNION ALL pre-D180 default rows of the same detail, in one pass
+    return G.union_of_filters(_union_detail(spark, sf), _union_conds())
 
 
 @register("union_distinct", f"{O.BASE}\nSELECT DISTINCT * FROM ({_UNION_SQL})")
 def q_union_distinct(spark, sf):
-    return G.union_distinct(*_union_parts(spark, sf))
+    return G.union_of_filters(_union_detail(spark, sf), _union_conds(), distinct=True)
 
 
 # --- scalar functions ------------------------------------------------------------------------

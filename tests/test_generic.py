@@ -1,0 +1,64 @@
+"""Generic operators against their textbook Spark forms."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from loanlife.operators import generic as G
+
+SF = "/root/testdata/sf0.001"
+
+
+def _rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def _events(spark):
+    return spark.read.parquet(f"{SF}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
+
+
+def test_union_of_filters_is_the_bag_union(spark):
+    ev = _events(spark)
+    c1, c2 = F.col("value") > 20, F.col("event_type") == "click"     # overlapping conditions
+    both = ev.where(c1 & c2).count()
+    assert both > 0
+    assert _rows(G.union_of_filters(ev, [c1, c2])) == _rows(G.union_all(ev.where(c1), ev.where(c2)))
+    assert _rows(G.union_of_filters(ev, [c1, c2], distinct=True)) == _rows(
+        G.union_distinct(ev.where(c1), ev.where(c2)))
+
+
+def test_first_row_forms_agree(spark):
+    ev = _events(spark)
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    by_window = ev.withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
+    assert _rows(G.first_row(ev, "user_id", ["ts", "event_id"]).select(*ev.columns)) == _rows(by_window)
+    assert _rows(G.row_number_first(ev, "user_id", [F.col("ts"), F.col("event_id")])) == _rows(by_window)
+    last = ev.withColumn("r", F.row_number().over(Window.partitionBy("user_id").orderBy(
+        F.col("ts").desc(), F.col("event_id").desc()))).where("r = 1").drop("r")
+    assert _rows(G.first_row(ev, "user_id", ["ts", "event_id"], last=True).select(*ev.columns)) == _rows(last)
+
+
+def test_first_rows_with_ties_equals_rank(spark):
+    ev = _events(spark).withColumn("d", F.to_date("ts"))
+    ranked = ev.withColumn("r", F.rank().over(Window.partitionBy("user_id").orderBy("d"))).where("r = 1")
+    assert _rows(G.first_rows_with_ties(ev, "user_id", "d")) == _rows(ranked.drop("r"))
+
+
+def test_conditional_first_row(spark):
+    ev = _events(spark)
+    got = G.first_row(ev, "user_id", ["ts", "event_id"], cond=F.col("event_type") == "error")
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    want = ev.where("event_type = 'error'").withColumn("r", F.row_number().over(w)).where("r = 1").drop("r")
+    assert _rows(got.select(*ev.columns)) == _rows(want)
+
+
+def test_keys_flagged_and_enrich(spark):
+    ev = _events(spark)
+    flagged = G.keys_flagged(ev, "user_id", F.col("event_type") == "purchase")
+    users = {r[0] for r in ev.where("event_type = 'purchase'").select("user_id").collect()}
+    assert {r["user_id"] for r in flagged.collect()} == users
+    assert flagged.count() == ev.where(F.col("user_id").isin(list(users))).count()
+    base = ev.select("user_id").distinct()
+    e = G.enrich(base, "user_id", ev, "user_id", [F.count(F.lit(1)).alias("n")])
+    assert _rows(e) == _rows(ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")))
