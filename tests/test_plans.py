@@ -81,3 +81,10 @@ def test_first_row_is_partially_aggregated(spark, static_plans):
     assert "partial_min_by" in p  # reduced per key inside each map task, before the exchange
     p = _plan(QUERIES["window_first"](spark, SF))
     assert "WindowGroupLimit" in p
+
+
+def test_union_of_filters_computes_the_detail_once(spark):
+    for name in ("union_all", "union_distinct"):
+        p = _plan(QUERIES[name](spark, SF))
+        assert p.count("Window [") == 2, name   # copy filter + lags, once
+        assert "Union" not in p, name
