@@ -56,9 +56,12 @@ class DigestIndex:
         groups = (batch.select(text_digest(F.col(text_col)).alias("digest"),
                                F.col(id_col).cast("bigint").alias("keep_id"))
                   .groupBy("digest").agg(F.max("keep_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
+        # Written as an outer join: the optimiser moves an anti-join below the
+        # aggregation, which would shuffle every copy instead of one row per digest.
+        known = self.rows().select(F.col("digest").alias("known"))
         fresh = (groups.repartition(self.buckets, "digest")
-                 .join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
-                 .withColumn("batch", F.lit(name)))
+                 .join(known.hint("merge"), F.col("digest") == F.col("known"), "left")
+                 .where(F.col("known").isNull()).drop("known").withColumn("batch", F.lit(name)))
         (fresh.write.format("parquet").mode("append").bucketBy(self.buckets, "digest").sortBy("digest")
          .option("path", self.path).saveAsTable(self.table))
         return name
