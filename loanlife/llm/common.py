@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import pathlib
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,3 +31,20 @@ def free_name(columns: list[str], base: str) -> str:
     while name.lower() in taken:
         name = "_" + name
     return name
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package (``--py-files`` does the same at submission).
+
+    The archive is staged on the driver only; Spark hands it to the executors.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_package_shipped", None) == __package__:
+        return
+    root = pathlib.Path(__file__).resolve().parents[1]
+    staged = pathlib.Path(tempfile.mkdtemp(prefix="package-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(staged, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(staged))
+    sc._package_shipped = __package__

@@ -6,10 +6,12 @@ under ``spark.checkpoint.dir`` when their query is built.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loanlife.llm import exact_dedup
-from loanlife.llm.common import table
+from loanlife.llm import byte_bpe, chat_collapse, exact_dedup, mixing
+from loanlife.llm.common import ship_package, table
 from loanlife.session import scratch_path
 
 
@@ -19,8 +21,39 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.label(docs, index.append(docs))
 
 
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = byte_bpe.decode(byte_bpe.encode(docs, RANKS).drop("text"), RANKS)
+    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+MIX_TEMPERATURE = 2.0   # target share of a source: the square root of its rows
+MIX_PERIOD = 1000
+MIX_BLOCK = 4           # documents of one block
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its slot; sorted by slot and place they are the mixture."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    weights = mixing.tempered_weights(docs, period=MIX_PERIOD, temperature=MIX_TEMPERATURE)
+    return mixing.interleave(docs, weights, block_rows=MIX_BLOCK)
+
+
+def op9_chat_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_collapse.collapse(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_byte_bpe": op4_byte_bpe,
+    "op8_mixing": op8_mixing,
+    "op9_chat_collapse": op9_chat_collapse,
 }
 
 ORACLE = {
@@ -33,4 +66,23 @@ ORACLE = {
                doc_id = max(doc_id) OVER same AS kept, text_sha256
         FROM d WINDOW same AS (PARTITION BY text_sha256)
     """,
+    # Prefixes compared as texts, segment 0 only: no conversation here has 256 turns.
+    "op9_chat_collapse": """
+        WITH t AS (
+            SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+        said AS (
+            SELECT *, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS line FROM t),
+        whole AS (
+            SELECT conv_id, count(*) AS depth, string_agg(line, '' ORDER BY turn, role, text) AS rendered
+            FROM said GROUP BY conv_id),
+        inner_prefix AS (
+            SELECT DISTINCT a.conv_id, a.turn, string_agg(b.line, '' ORDER BY b.turn, b.role, b.text) AS so_far
+            FROM said a JOIN said b ON a.conv_id = b.conv_id AND b.turn <= a.turn
+            WHERE a.turn < (SELECT max(turn) FROM said c WHERE c.conv_id = a.conv_id)
+            GROUP BY a.conv_id, a.turn),
+        once AS (
+            SELECT min(conv_id) AS conv_id, depth, count(*) AS copies, rendered FROM whole GROUP BY depth, rendered)
+        SELECT conv_id, 0::BIGINT AS part, depth, copies, depth AS n_turns, rendered
+        FROM once WHERE rendered NOT IN (SELECT so_far FROM inner_prefix)
+    """,
 }
