@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlife.llm import byte_bpe, chat_collapse, exact_dedup, mixing
+from loanlife.llm import byte_bpe, chat_collapse, exact_dedup, language_id, mixing, warc
 from loanlife.llm.common import ship_package, table
 from loanlife.session import scratch_path
 
@@ -33,6 +33,32 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", held_out.alias("held_out"))
+    dictionaries = language_id.fit(docs.where(~F.col("held_out")))
+    return language_id.identify(docs.drop("lang"), dictionaries).drop("text")
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives are written when the query is built; revisits are read by their headers alone."""
+    ship_package(spark)
+    warc.register(spark)
+    path = scratch_path(spark, "warc")
+    warc.records(table(spark, sf_dir, "pages")).write.format("warc").mode("append").save(path)
+    archive = spark.read.format("warc")
+    responses = archive.load(path).where("record_type = 'response'").withColumn(
+        "read_bytes", F.octet_length("payload").cast("bigint")).drop("payload")
+    headers = [f for f in warc.SCHEMA.split(", ") if not f.startswith("payload binary")]
+    revisits = (archive.schema(", ".join(headers)).load(path).where("record_type = 'revisit'")
+                .withColumn("read_bytes", F.lit(None).cast("bigint")))
+    return responses.unionByName(revisits).select(
+        F.expr("try_cast(substring_index(record_id, ':', -1) as bigint)").alias("page_id"),
+        F.coalesce("read_bytes", "payload_length").alias("payload_bytes"), "payload_digest", "record_type",
+        F.expr("try_cast(substring_index(refers_to, ':', -1) as bigint)").alias("refers_to"))
+
+
 MIX_TEMPERATURE = 2.0   # target share of a source: the square root of its rows
 MIX_PERIOD = 1000
 MIX_BLOCK = 4           # documents of one block
@@ -52,6 +78,8 @@ def op9_chat_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_language_id": op5_language_id,
+    "op7_warc": op7_warc,
     "op8_mixing": op8_mixing,
     "op9_chat_collapse": op9_chat_collapse,
 }
@@ -66,6 +94,28 @@ ORACLE = {
                doc_id = max(doc_id) OVER same AS kept, text_sha256
         FROM d WINDOW same AS (PARTITION BY text_sha256)
     """,
+    "op7_warc": """
+        WITH p AS (
+            SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha FROM pages),
+        bits AS (
+            SELECT page_id, sha, strlen(html)::BIGINT AS payload_bytes,
+                   list_reduce(list_transform(range(1, 41), lambda i: [
+                       '0000','0001','0010','0011','0100','0101','0110','0111','1000','1001','1010','1011',
+                       '1100','1101','1110','1111'][strpos('0123456789abcdef', substr(sha, i, 1))]),
+                       lambda x, y: x || y) AS b
+            FROM p),
+        named AS (
+            SELECT page_id, payload_bytes, max(page_id) OVER (PARTITION BY sha) AS first,
+                   list_reduce(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                       (16 * substr(b, 5 * i + 1, 1)::INT + 8 * substr(b, 5 * i + 2, 1)::INT
+                        + 4 * substr(b, 5 * i + 3, 1)::INT + 2 * substr(b, 5 * i + 4, 1)::INT
+                        + substr(b, 5 * i + 5, 1)::INT + 1)::BIGINT, 1)), lambda x, y: x || y) AS payload_digest
+            FROM bits)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM named
+    """,
     # Prefixes compared as texts, segment 0 only: no conversation here has 256 turns.
     "op9_chat_collapse": """
         WITH t AS (
