@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlife.llm import byte_bpe, chat_collapse, exact_dedup, language_id, mixing, warc
+from loanlife.llm import byte_bpe, chat_collapse, exact_dedup, language_id, merkle, mixing, warc
 from loanlife.llm.common import ship_package, table
 from loanlife.session import scratch_path
 
@@ -41,6 +41,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs.drop("lang"), dictionaries).drop("text")
 
 
+def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return merkle.follow(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives are written when the query is built; revisits are read by their headers alone."""
     ship_package(spark)
@@ -79,6 +84,7 @@ QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_language_id": op5_language_id,
+    "op6_merkle": op6_merkle,
     "op7_warc": op7_warc,
     "op8_mixing": op8_mixing,
     "op9_chat_collapse": op9_chat_collapse,
