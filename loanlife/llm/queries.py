@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlife.llm import byte_bpe, chat_collapse, exact_dedup, language_id, merkle, mixing, warc
+from loanlife.llm import byte_bpe, chat_collapse, exact_dedup, language_id, merkle, mixing, pii_crf, warc
 from loanlife.llm.common import ship_package, table
 from loanlife.session import scratch_path
 
@@ -21,6 +21,20 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.label(docs, index.append(docs))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts are those of the base; ``spans`` also has what the field adds."""
+    ship_package(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii_crf.find(docs, pii_crf.fit(pii_crf.labelled_table(spark, docs))).drop("text")
+
+    def joined(spans: str):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}")
+              for k in pii_crf.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"),
+                        joined("spans").alias("spans"))
+
+
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
@@ -82,6 +96,7 @@ def op9_chat_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_pii": op3_pii,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_language_id": op5_language_id,
     "op6_merkle": op6_merkle,
