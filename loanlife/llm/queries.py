@@ -29,8 +29,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def joined(spans: str):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}")
-              for k in pii_crf.KINDS]
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    counts = [count(kind) for kind in pii_crf.KINDS]
     return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"),
                         joined("spans").alias("spans"))
 
