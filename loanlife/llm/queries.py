@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlife.llm import byte_bpe, chat_collapse, exact_dedup, language_id, merkle, mixing, pii_crf, warc
+from loanlife.llm import byte_bpe, chat_collapse, exact_dedup, html_gbt, language_id, merkle, mixing, pii_crf, warc
 from loanlife.llm.common import ship_package, table
 from loanlife.session import scratch_path
 
@@ -96,6 +96,13 @@ def op9_chat_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_collapse.collapse(table(spark, sf_dir, "conversations"))
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    main = html_gbt.extract(pages, html_gbt.fit(html_gbt.labelled_pages(spark)))
+    return main.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_pii": op3_pii,
@@ -105,6 +112,7 @@ QUERIES = {
     "op7_warc": op7_warc,
     "op8_mixing": op8_mixing,
     "op9_chat_collapse": op9_chat_collapse,
+    "op10_html": op10_html,
 }
 
 ORACLE = {
