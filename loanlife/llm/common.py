@@ -48,3 +48,8 @@ def ship_package(spark: SparkSession) -> None:
             z.write(f, f.relative_to(root.parent))
     sc.addPyFile(str(staged))
     sc._package_shipped = __package__
+
+
+def low_hash(pick: Column, share: float) -> Column:
+    """True for about ``share`` of the values of a 64-bit hash, always the same ones."""
+    return F.lit(True) if share >= 1 else pick < F.lit(int(share * 2.0 ** 64) - 2 ** 63)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loanlife.llm.common import free_name
+from loanlife.llm.common import free_name, low_hash
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O",) + tuple(f"{p}-{k}" for k in KINDS for p in "BI")
@@ -324,8 +324,12 @@ def labelled_table(spark: SparkSession, corpus: DataFrame, text_col: str = "text
     """(sentence, words, labels): ``SENTENCES`` drawn ones and the windows of ``SAMPLE_TEXTS`` texts at most."""
     rng = random.Random(seed)
     rows = [(f"drawn-{i}", *_drawn(rng)) for i in range(SENTENCES)]
-    sample = (corpus.where(F.col(text_col).isNotNull()).select(F.substring(text_col, 1, SAMPLE_CHARS).alias("text"))
-              .orderBy(F.xxhash64("text"), "text").limit(SAMPLE_TEXTS).collect())
+    texts = (corpus.where(F.col(text_col).isNotNull()).select(F.substring(text_col, 1, SAMPLE_CHARS).alias("text"))
+             .withColumn("pick", F.xxhash64("text")))
+    # Only about three times the sample, copies once, leaves the tasks, at any size of the corpus.
+    share = 3 * SAMPLE_TEXTS / max(corpus.count(), 1)
+    sample = (texts.where(low_hash(F.col("pick"), share)).dropDuplicates(["pick"])
+              .orderBy("pick").limit(SAMPLE_TEXTS).collect())
     for i, row in enumerate(sample):
         spans = base_spans(row["text"])
         for j, (window, _) in enumerate(windows_of(row["text"])):
