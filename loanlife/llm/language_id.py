@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from loanlife.llm.common import free_name
+from loanlife.llm.common import free_name, low_hash
 
 UNKNOWN = "und"
 SAMPLE_TEXTS = 400
@@ -56,10 +56,14 @@ def training_sample(labelled: DataFrame, text_col: str = "text", lang_col: str =
     pieces = (labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
               .select(F.col(lang_col).cast("string").alias("lang"), F.substring(text_col, 1, chars).alias("text"))
               .withColumn("pick", F.xxhash64("text")))
-    # The ranking keeps its first rows before the shuffle, so no task gets a whole language.
+    # Only about three times the sample, copies once, leaves the tasks, at any size of the table.
+    counts = labelled.where(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).cast("string").alias("lang")).count()
+    chosen = F.lit(False)
+    for row in counts.collect():
+        chosen = chosen | ((F.col("lang") == row["lang"]) & low_hash(F.col("pick"), 3 * texts / row["count"]))
     first = Window.partitionBy("lang").orderBy("pick")
-    return (pieces.withColumn("n", F.row_number().over(first)).where(F.col("n") <= texts)
-            .dropDuplicates(["lang", "pick"]).select("lang", "text", "pick"))
+    return (pieces.where(chosen).dropDuplicates(["lang", "pick"])
+            .withColumn("n", F.row_number().over(first)).where(F.col("n") <= texts).select("lang", "text", "pick"))
 
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
