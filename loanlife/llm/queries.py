@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlife.llm import byte_bpe, chat_collapse, exact_dedup, html_gbt, language_id, merkle, mixing, pii_crf, warc
+from loanlife.llm import byte_bpe, chat_collapse, exact_dedup, html_gbt, jaccard_join, language_id, merkle, mixing, pii_crf, warc
 from loanlife.llm.common import ship_package, table
 from loanlife.session import scratch_path
 
@@ -21,6 +21,11 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return index.label(docs, index.append(docs))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return jaccard_join.grouped(table(spark, sf_dir, "documents")).drop("row")
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts are those of the base; ``spans`` also has what the field adds."""
     ship_package(spark)
@@ -105,6 +110,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_pii": op3_pii,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_language_id": op5_language_id,
@@ -125,6 +131,33 @@ ORACLE = {
                doc_id = max(doc_id) OVER same AS kept, text_sha256
         FROM d WINDOW same AS (PARTITION BY text_sha256)
     """,
+    "op2_jaccard_join": """
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+            FROM documents),
+        s AS (
+            SELECT doc_id, CASE WHEN len(words) = 0 THEN []
+                WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(words) - 3),
+                                   lambda i: array_to_string(words[i:i + 4], ' '))) END AS shingles
+            FROM w),
+        e AS (SELECT doc_id, unnest(shingles) AS shingle FROM s),
+        common AS (
+            SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+            FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (
+            SELECT x, y FROM common JOIN s p ON p.doc_id = x JOIN s q ON q.doc_id = y
+            WHERE 100 * n >= 75 * (len(p.shingles) + len(q.shingles) - n)),
+        both_ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+        reached AS (
+            SELECT doc_id AS x, doc_id AS y FROM s
+            UNION
+            SELECT r.x, l.y FROM reached r JOIN both_ways l ON r.y = l.x),
+        least AS (SELECT x, min(y) AS component_id FROM reached GROUP BY x)
+        SELECT doc_id, len(shingles)::BIGINT AS n_shingles, component_id FROM s JOIN least ON x = doc_id
+    """,
     "op7_warc": """
         WITH p AS (
             SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS sha FROM pages),
