@@ -38,6 +38,7 @@ UNKNOWN = "und"
 SAMPLE_TEXTS = 400
 SAMPLE_CHARS = 1500
 DICTIONARY_BYTES = 96 * 1024
+LEAST_BYTES = 16 * 1024  # a smaller sample of one language doesn't shorten the others' dictionaries
 PIECE_BYTES = 2048       # compressed on its own, so that a long text cannot become its own dictionary
 SHORT_BYTES = 256        # a shorter text is repeated
 LEVEL = 9
@@ -76,8 +77,10 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
             texts.setdefault(row["lang"], []).append(clean)
     if not texts:
         return {}
-    # The same amount for every language, so that none wins by a larger dictionary.
-    size = min(DICTIONARY_BYTES, min(sum(map(len, t)) + len(t) for t in texts.values()))
+    # The same amount for every language, so that none wins by a larger dictionary; but a
+    # language with next to no sample doesn't take the others' away.
+    least = min(sum(map(len, t)) + len(t) for t in texts.values())
+    size = min(DICTIONARY_BYTES, max(least, LEAST_BYTES))
     return {lang: b" ".join(t)[:size] for lang, t in sorted(texts.items())}
 
 

@@ -1,0 +1,50 @@
+from __future__ import annotations
+
+import os
+import pathlib
+
+import pytest
+
+ROOT = str(pathlib.Path(__file__).resolve().parents[2])
+os.environ["PYTHONPATH"] = os.pathsep.join([ROOT, os.environ.get("PYTHONPATH", "")])   # for the Python workers
+
+SMALL = "/root/testdata/sf0.001"
+LONG = "lorem ipsum dolor sit amet " * 8000
+
+DOCS_DDL = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+# Null and empty texts, null ids, ties, repeated rows, a very long text, one without words or letters.
+EDGE_DOCS = [
+    (1, "The Quick brown fox jumps over the lazy dog again and again", "en", "a", 1),
+    (2, "the quick BROWN fox jumps over the lazy dog again and again", "en", "a", 1),
+    (2, "the quick BROWN fox jumps over the lazy dog again and again", "en", "a", 1),
+    (3, None, None, None, None), (4, "", "en", "", 0), (5, " \t\n ", "de", "b", 4), (6, "123 456 !!", "de", None, 9),
+    (7, LONG, "la", "c", len(LONG)), (8, LONG, None, "c", len(LONG)), (None, "no id here at all", "en", "c", 1),
+    (None, "no id here at all", "en", "c", 1), (9, "Ärger ärger", "de", "b", 11), (10, "ärger ärger", "de", "b", 11),
+    (11, "x" * 60000, "en", "d", 60000), (12, "\U0001f600 é 　 it's we'll 'sa \r\n\n x", "fr", "d", 5),
+]
+
+
+@pytest.fixture(scope="session")
+def edge_docs(spark):
+    return spark.createDataFrame(EDGE_DOCS, DOCS_DDL)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], DOCS_DDL)
+
+
+@pytest.fixture()
+def as_tables(tmp_path):
+    """Writes frames as tables of a folder that queries can be run on."""
+    def write(**frames):
+        for name, df in frames.items():
+            df.write.mode("overwrite").parquet(str(tmp_path / f"{name}.parquet"))
+        return str(tmp_path)
+    return write
+
+
+@pytest.fixture(scope="session")
+def small_docs(spark):
+    return [(r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
