@@ -21,7 +21,8 @@ Steps, none of which lists all pairs of a group:
 3. groups that still span several components are joined with themselves, on
    condition that the components differ, the sizes allow a link, and the parity
    sketches (a lower bound of the differences, by exclusive-or) do not rule it out;
-4. links are always verified on the whole sets; components are those of all links.
+4. pairs left over are sieved by parity sketches as wide as their sets need, and
+   links are always verified on the whole sets; components are those of all links.
 
 Every pair of similar sets shares a group, and is either in one component after
 step 2 or compared in step 3, so the components are exact.  Sets are identified by
@@ -266,6 +267,50 @@ def _may_link(a: str, b: str) -> Column:
             & (odd * (100 + THRESHOLD) <= (col(a, "n") + col(b, "n")) * (100 - THRESHOLD)))
 
 
+def wide_sketch(elements: np.ndarray) -> bytes:
+    """Parities in as many bits as four times the size, rounded up to a power of two; halves fold by exclusive-or."""
+    bits = max(1024, 1 << (4 * len(elements) - 1).bit_length())
+    odd = np.bincount((elements % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def odd_bits(a: bytes, b: bytes) -> int:
+    """Differing parities of two wide sketches, at the width of the narrower one."""
+    x, y = np.frombuffer(a, dtype=np.uint64), np.frombuffer(b, dtype=np.uint64)
+    while len(x) != len(y):
+        if len(x) > len(y):
+            x, y = y, x
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _wide(texts: DataFrame) -> DataFrame:
+    """(node, n, wide) of the candidates."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([wide_sketch(s) for s in sets], pa.binary())], names=["node", "n", "wide"])
+
+    return texts.select("node", "text").mapInArrow(run, "node bigint, n bigint, wide binary")
+
+
+def _sieved(pairs: DataFrame, wide: DataFrame) -> DataFrame:
+    """The pairs (a, b) that their wide sketches don't rule out."""
+    both = (pairs.join(wide.select(F.col("node").alias("a"), F.struct("n", "wide").alias("x")).hint("merge"), "a")
+            .join(wide.select(F.col("node").alias("b"), F.struct("n", "wide").alias("y")).hint("merge"), "b")
+            .select("a", "b", "x.n", "x.wide", F.col("y.n").alias("m"), F.col("y.wide").alias("wide_b")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [odd_bits(x, y) <= differences(n, m)
+                    for n, x, m, y in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return both.mapInArrow(run, "a bigint, b bigint")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar."""
     both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")).hint("merge"), "a")
@@ -352,6 +397,7 @@ def linked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
         docs.alias("d").join(info.select("node", "one").alias("i").hint("merge"),
                              F.col("d.id").eqNullSafe(F.col("i.one.id")) & (F.col("d.row") == F.col("i.one.row")))
         .dropDuplicates(["node"]).select("node", F.coalesce("text", F.lit("")).alias("text")), "texts")
+    wide = _checkpoint(_wide(texts), "wide")
     sized = info.drop("one")
     members = groups.join(sized.hint("merge"), "node")
 
@@ -362,7 +408,7 @@ def linked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     near = (star.join(sized.alias("a").hint("merge"), F.col("x") == F.col("a.node"))
             .join(sized.alias("b").hint("merge"), (F.col("y") == F.col("b.node")) & _may_link("a", "b"))
             .select(F.col("x").alias("a"), F.col("y").alias("b")))
-    first = _checkpoint(_verified(near, texts), "links")
+    first = _checkpoint(_verified(_sieved(near, wide), texts), "links")
 
     roots = _checkpoint(components(first), "roots")
     placed = (members.join(roots.hint("merge"), "node", "left")
@@ -376,7 +422,7 @@ def linked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
         (F.col("a.grp") == F.col("b.grp")) & (F.col("a.node") < F.col("b.node"))
         & (F.col("a.root") != F.col("b.root")) & _may_link("a", "b"))
         .select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct())
-    links = first.unionByName(_checkpoint(_verified(rest, texts), "links"))
+    links = first.unionByName(_checkpoint(_verified(_sieved(rest, wide), texts), "links"))
     return sets, classes, links
 
 

@@ -108,3 +108,16 @@ def test_components_of_a_path_a_star_and_a_cycle(spark):
 
 def test_empty_table(spark, no_docs, as_tables):
     assert op2_jaccard_join(spark, as_tables(documents=no_docs)).collect() == []
+
+
+def test_sketches_never_rule_out_more_than_the_differences():
+    import numpy as np
+    rng = np.random.default_rng(2)
+    for _ in range(300):
+        common = rng.integers(0, 2 ** 63, int(rng.integers(0, 900)), dtype=np.uint64)
+        x, y = (np.unique(np.concatenate([common, rng.integers(0, 2 ** 63, int(rng.integers(1, 900)), dtype=np.uint64)]))
+                for _ in range(2))
+        apart = len(np.setxor1d(x, y))
+        assert J.odd_bits(J.wide_sketch(x), J.wide_sketch(y)) <= apart
+        assert sum((a ^ b).bit_count() for a, b in zip(
+            *(np.array(J.sketch(s)).view(np.uint64).tolist() for s in (x, y)), strict=True)) <= apart
