@@ -80,9 +80,9 @@ def as_number(x) -> Column:
 
 
 def as_money(x, dtype: str = "decimal(14,2)") -> Column:
-    """Text holding a number → decimal; codes such as 'C' or 'U' → NULL."""
+    """Text holding a number → decimal; codes such as 'C' or 'U', and numbers that the type cannot hold → NULL."""
     t = F.trim(_c(x))
-    return F.when(t.rlike(NUMBER_PATTERN), t.cast(dtype))
+    return F.when(t.rlike(NUMBER_PATTERN), t.try_cast(dtype))
 
 
 def is_blank(x) -> Column:
@@ -108,23 +108,31 @@ def quarter_label(date_col) -> Column:
     return F.concat(F.lit("Q"), F.quarter(d).cast("string"), F.year(d).cast("string"))
 
 
-def yyyymm(date_col) -> Column:
-    d = _c(date_col)
-    return (F.year(d) * 100 + F.month(d)).cast("int")
+def quarter_start(date_col, back: int = 0) -> Column:
+    """First day of the quarter that lies ``back`` quarters before the date's own."""
+    return F.add_months(F.trunc(_c(date_col), "quarter"), -3 * back)
+
+
+def quarter_starts(first, last) -> Column:
+    """First days of all quarters from the one of ``first`` to the one of ``last``."""
+    return F.sequence(quarter_start(first), quarter_start(last), F.expr("INTERVAL 3 MONTHS"))
+
+
+# Fixed value: the loss rule's servicing-fee spread, in thousandths.
+SERVICING_SPREAD_MILLI = 350
 
 
 def accrued_interest(principal, rate, days) -> Column:
     """round(principal * (rate - 0.35) * days / 360 / 100, 1), exact and half away from zero.
 
     ``principal`` is money with 2 decimals and ``rate`` has 3 decimals, so the
-    product is an integer count of 1e-5 units; the division and rounding are
-    then done in integers, which keeps the result exact at any magnitude and
-    identical across engines.
+    product is an integer count of 1e-5 units.  It is held in decimals of up to
+    34 digits: principals below 1e16, rates below 1e5 and days below 1e6 cannot overflow.
     """
-    cents = (_c(principal) * 100).cast("long")
-    milli = ((_c(rate) - F.lit(0.35).cast("decimal(6,3)")) * 1000).cast("long")
-    num = cents * milli * _c(days).cast("long")          # value * 3.6e9
-    den = F.lit(360_000_000).cast("long")                 # one tenth, in the same units
-    half = F.lit(180_000_000).cast("long")
+    cents = (_c(principal) * 100).cast("decimal(18,0)")
+    milli = (_c(rate) * 1000 - SERVICING_SPREAD_MILLI).cast("decimal(8,0)")
+    num = (cents * milli * _c(days).cast("decimal(6,0)")).cast("decimal(35,0)")   # value * 3.6e9
+    den = F.lit(360_000_000).cast("decimal(9,0)")          # one tenth, in the same units
+    half = F.lit(180_000_000).cast("decimal(9,0)")
     tenths = F.when(num < 0, -idiv(half - num, den)).otherwise(idiv(num + half, den))
     return (tenths.cast("decimal(18,0)") / 10).cast("decimal(18,1)")

@@ -1,17 +1,15 @@
 """Servicing detail (M1): per-loan lag features, first-row priors and derived status.
 
-One window over (id_loan ordered by period, then every other column) computes all
-lags in a single sort.  The order is total once exact duplicate rows are removed,
-so ties on ``period`` resolve the same way on every run: first events take the
-lowest row, the terminal record the highest.
-
-Hot loans.  A window partitioned by loan runs each loan in one task.  Real loans
-are bounded (one row per month), but a loan holding a large share of all rows
-would become one straggler task.  ``hot_keys`` finds loans above a row threshold
-(a partially aggregated count), and those loans take ``lags_split``: the window
-runs per (loan, period), and the lags that cross a period boundary come from a
-per-(loan, period) summary whose own window has one row per loan-month, i.e. is
-bounded by the calendar, not by the data.  Both paths give identical rows.
+One plan for every panel, whatever the size of its loans: exact copies collapse
+in a partial aggregate before the first shuffle; the lags come from a window per
+(loan, year), and those that reach over the turn of a year from a summary with
+one row per loan-year (``generic.lags_split``).  No task gets a whole loan.
+Callers that know every loan to be small may ask for the plan with one window
+per loan (``bounded_loans=True``), which saves the second shuffle of the panel.
+
+The order within a loan (period, then every other column) is total once exact
+copies are removed, so ties on ``period`` resolve the same way on every run:
+first events take the lowest row, the terminal record the highest.
 """
 
 from __future__ import annotations
@@ -19,12 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanlife.functions.exprs import month_diff, ne_null_safe
+from loanlife.functions.exprs import idiv, month_diff, ne_null_safe
 from loanlife.operators import generic as G
-from loanlife.operators.generic import HOT_ROWS, MAX_HOT, hot_keys
 
 KEY = "id_loan"
-SUB = "period"
 ORDER_HEAD = ["period", "act_endg_upb"]
 
 # Status rule for 'R' rows one calendar month after the previous row
@@ -69,14 +65,19 @@ def dedupe_panel(svcg: DataFrame) -> DataFrame:
     return svcg.dropDuplicates()
 
 
+def year_group() -> Column:
+    """Year of a YYYYMM period: never decreases along the order of a loan's rows."""
+    return idiv("period", 100)
+
+
 def lags_one_window(df: DataFrame, key: str = KEY) -> DataFrame:
     """``rn`` and the LAGS columns from one window per loan."""
     return G.lags_one_window(df, key, _asc(order_columns(df, key)), LAGS)
 
 
-def lags_split(df: DataFrame, key: str = KEY, sub: str = SUB) -> DataFrame:
-    """Same rows as ``lags_one_window``, split per (loan, ``sub``) (see generic.lags_split)."""
-    return G.lags_split(df, key, sub, _asc(order_columns(df, key)), LAGS)
+def lags_split(df: DataFrame, key: str = KEY) -> DataFrame:
+    """Same rows as ``lags_one_window``, from windows per (loan, year)."""
+    return G.lags_split(df, key, year_group(), _asc(order_columns(df, key)), LAGS)
 
 
 def priors_from_lags(lagged: DataFrame) -> DataFrame:
@@ -96,23 +97,20 @@ def priors_from_lags(lagged: DataFrame) -> DataFrame:
     return priors.withColumn("delq_sts_new", delq_state())
 
 
-def with_priors(df: DataFrame, key: str = KEY, split: bool = False, dedupe: bool = False) -> DataFrame:
-    """Add ``rn`` (row order within the loan), the prior_* columns, period_diff and
-    delq_sts_new.  ``df`` must be free of exact duplicate rows unless ``dedupe``
-    (one-window path only: copies are dropped in the same window stage)."""
-    if split:
-        return priors_from_lags(lags_split(df, key))
-    return priors_from_lags(lags_one_window(drop_adjacent_copies(df, key) if dedupe else df, key))
+def with_priors(df: DataFrame, key: str = KEY, bounded_loans: bool = False) -> DataFrame:
+    """Exact copies removed; ``rn`` (row order within the loan), the prior_* columns,
+    period_diff and delq_sts_new added."""
+    if bounded_loans:
+        return priors_from_lags(lags_one_window(drop_adjacent_copies(df, key), key))
+    return priors_from_lags(lags_split(dedupe_panel(df), key))
 
 
 def drop_adjacent_copies(df: DataFrame, key: str = KEY) -> DataFrame:
-    """Exact duplicate rows removed inside the per-loan window stage.
+    """Exact copies removed inside the per-loan window stage.
 
     Sorted by every column, copies of a row are adjacent, so one streaming window
     that compares each row with its predecessor removes them; it shares the
-    exchange and the sort of the lag window that follows.  (A massive group of
-    copies makes its loan hot by raw row count, and the hot path removes copies
-    with a partial aggregate before any shuffle.)
+    exchange and the sort of the lag window that follows.
     """
     w = loan_window(df, key)
     row = F.struct(*df.columns)
@@ -120,25 +118,6 @@ def drop_adjacent_copies(df: DataFrame, key: str = KEY) -> DataFrame:
             .where(~F.col("_prev").eqNullSafe(row)).drop("_prev"))
 
 
-def route_hot(df: DataFrame, key: str = KEY, hot_rows: int | None = HOT_ROWS,
-              max_hot: int = MAX_HOT) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary loans, rows of hot loans or None).
-
-    One pass over the key column finds the hot loans (partial counts, a bounded
-    list).  When there are none (real loan panels) nothing else changes in the
-    plan.  Otherwise rows are tagged by a broadcast join of the bounded list,
-    which adds no shuffle.
-    """
-    if hot_rows is None:
-        return df, None
-    hot = hot_keys(df, key, hot_rows, max_hot)
-    if hot.isEmpty():
-        return df, None
-    tagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-    return (tagged.where(F.col("_hot").isNull()).select(*df.columns),
-            tagged.where(F.col("_hot").isNotNull()).select(*df.columns))
-
-
 def delq_state() -> Column:
     """Derived status: the raw status, except 'R' one month after a raw 2 / 3 / 5,
     which becomes 3 / 4 / 6; any other 'R' is missing."""
@@ -150,17 +129,11 @@ def delq_state() -> Column:
 
 
 def servicing_detail(svcg: DataFrame, orig: DataFrame, key: str = KEY,
-                     hot_rows: int | None = HOT_ROWS, max_hot: int = MAX_HOT) -> DataFrame:
-    """Deduplicated servicing rows of loans present in ``orig`` (inner join for
-    ``orig_upb``), with lags, priors and derived status.  ``hot_rows=None``
-    disables hot-loan routing; ``hot_rows=0`` sends every loan down the split path."""
+                     bounded_loans: bool = False) -> DataFrame:
+    """Servicing rows without copies, of loans present in ``orig``, with ``orig_upb``,
+    lags, priors and derived status.
+
+    A loan with several origination balances has its rows once per balance.
+    """
     origin = dedupe_panel(orig.select(key, "orig_upb"))
-    normal, heavy = route_hot(svcg, key, hot_rows, max_hot)
-    detail = with_priors(normal.join(origin, key, "inner"), key, dedupe=True)
-    if heavy is not None:
-        # copies collapse before the shuffle; a hot loan's rows then meet one
-        # origination row (AQE's skew-join handling splits that partition) and
-        # the window is per (loan, period)
-        heavy_rows = dedupe_panel(heavy).join(origin, key, "inner")
-        detail = detail.unionByName(with_priors(heavy_rows, key, split=True))
-    return detail
+    return with_priors(svcg.join(origin, key, "inner"), key, bounded_loans)

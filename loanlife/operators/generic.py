@@ -83,76 +83,55 @@ def first_by_bucket(df: DataFrame, key, order, bucket_col: str, buckets: Iterabl
 
 # --- lags ----------------------------------------------------------------------
 
-# Keys with more rows than this take the split path; at most MAX_HOT of them are
-# routed (by a broadcast of their ids); any further ones stay on the one-window
-# path, which is exact for them too, just not split.
-HOT_ROWS = 20_000
-MAX_HOT = 10_000
-
-
-def hot_keys(df: DataFrame, key: str, threshold: int = HOT_ROWS, limit: int = MAX_HOT) -> DataFrame:
-    """Ids of the (at most ``limit``) largest keys with more than ``threshold`` rows.
-
-    The count is partially aggregated in every map task; the result has at most
-    ``limit`` rows, which is what makes it safe to broadcast.
-    """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > threshold)
-    return counts.orderBy(F.col("_n").desc(), F.col(key)).limit(limit).select(key)
-
-
 def lags_one_window(df: DataFrame, key, order: Sequence[Column],
                     lags: dict[str, tuple[str, int]], rn: str = "rn") -> DataFrame:
-    """``rn`` (row order within the key) and lag columns name → (column, offset)."""
+    """``rn`` (row order within the key) and lag columns name → (column, offset) over
+    one window per key.  A key's rows meet in one task: only for callers that
+    know every key to be small."""
     w = Window.partitionBy(*_cols(key)).orderBy(*order)
     return df.select("*", F.row_number().over(w).alias(rn),
                      *[F.lag(c, k).over(w).alias(n) for n, (c, k) in lags.items()])
 
 
-def _sub_key(df: DataFrame, sub: str) -> Column:
-    """Integer group key for ``sub`` with NULL mapped below every value (NULLs sort
-    first), so that the group window, the summary and the join back all use one
-    plain equi-key."""
-    t = dict(df.dtypes)[sub]
-    v = F.unix_date(F.col(sub)) if t == "date" else F.col(sub).cast("long")
-    return F.coalesce(v, F.lit(-(2 ** 63)).cast("long"))
-
-
-def lags_split(df: DataFrame, key: str, sub: str, order: Sequence[Column],
+def lags_split(df: DataFrame, key: str, group: Column, order: Sequence[Column],
                lags: dict[str, tuple[str, int]], rn: str = "rn") -> DataFrame:
     """Same rows as ``lags_one_window`` without a window over a whole key.
 
-    ``sub`` (an int or date column) must not decrease along ``order`` (e.g. the
-    month of a monthly panel, the day of an event stream).  Within each
-    (key, sub) group a window gives the in-group order and lags; a per-group
-    summary (row count, last row, second-to-last row) is windowed per key over
-    the groups, which adds the row offset and the lags that reach into earlier
-    groups.  That summary has one row per key and sub value, so its window is
-    bounded by the calendar; only it is shuffled again.  Offsets 1 and 2.
+    ``group`` (an integer or date expression) must not decrease along ``order``:
+    the year of a monthly panel, the month of an event stream; NULL comes first.
+    Within each (key, group) a window gives the in-group order and lags; a
+    summary of the groups (row count, last row, second-to-last row) is windowed
+    per key, which adds the row offset and the lags that reach into earlier
+    groups.  Only the summary, one row per key and group, is shuffled again.
+    Offsets 1 and 2.
     """
     assert all(k in (1, 2) for _, k in lags.values())
-    keyed = df.withColumn("_sk", _sub_key(df, sub))
-    wg = Window.partitionBy(key, "_sk").orderBy(*order)
+    keyed = df.withColumn("_g", group)
+    as_long = F.unix_date(F.col("_g")) if dict(keyed.dtypes)["_g"] == "date" else F.col("_g").cast("long")
+    keyed = keyed.withColumn("_g", F.coalesce(as_long, F.lit(-(2 ** 63)).cast("long")))
+    wg = Window.partitionBy(key, "_g").orderBy(*order)
     x = keyed.select(
         "*", F.row_number().over(wg).alias("_rg"),
         F.lead(F.lit(1), 1).over(wg).alias("_n1"), F.lead(F.lit(1), 2).over(wg).alias("_n2"),
         *[F.lag(c, k).over(wg).alias(f"_g{n}") for n, (c, k) in lags.items()])
     one_back = list(dict.fromkeys(c for c, _ in lags.values()))
     two_back = list(dict.fromkeys(c for c, k in lags.values() if k == 2)) or one_back[:1]
-    summary = x.groupBy(key, "_sk").agg(
+    summary = x.groupBy(key, "_g").agg(
         F.count(F.lit(1)).alias("_cnt"),
         F.max_by(F.struct(*one_back), F.when(F.col("_n1").isNull(), F.col("_rg"))).alias("_last"),
         F.max_by(F.struct(*two_back), F.when(F.col("_n1").isNotNull() & F.col("_n2").isNull(),
                                              F.col("_rg"))).alias("_second"))
-    ws = Window.partitionBy(key).orderBy("_sk")
+    ws = Window.partitionBy(key).orderBy("_g")
     bounds = summary.select(
-        key, "_sk",
+        key, "_g",
         F.lag("_last", 1).over(ws).alias("_p_last"),
         F.lag("_second", 1).over(ws).alias("_p_second"),
         F.lag("_cnt", 1).over(ws).alias("_p_cnt"),
         F.lag("_last", 2).over(ws).alias("_pp_last"),
         F.coalesce(F.sum("_cnt").over(ws.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_offset"))
-    j = x.join(bounds, [key, "_sk"], "inner")
+    j = x.alias("x").join(bounds.alias("b"), F.col(f"x.{key}").eqNullSafe(F.col(f"b.{key}"))
+                          & (F.col("x._g") == F.col("b._g")), "inner")
     rg = F.col("_rg")
     out = []
     for n, (c, k) in lags.items():
@@ -162,33 +141,13 @@ def lags_split(df: DataFrame, key: str, sub: str, order: Sequence[Column],
         else:
             before = F.when(F.col("_p_cnt") >= 2, F.col("_p_second")[c]).otherwise(F.col("_pp_last")[c])
             out.append(F.when(rg > 2, inner).when(rg == 2, F.col("_p_last")[c]).otherwise(before).alias(n))
-    return j.select(*df.columns, (F.col("_offset") + rg).cast("int").alias(rn), *out)
+    return j.select(*[F.col(f"x.{c}") for c in df.columns], (F.col("_offset") + rg).cast("int").alias(rn), *out)
 
 
 def with_lags(df: DataFrame, key: str, order: Sequence[Column], lags: dict[str, tuple[str, int]],
-              split_by: tuple[str, Column] | None = None, hot_rows: int | None = HOT_ROWS,
-              max_hot: int = MAX_HOT) -> DataFrame:
-    """Add lag columns name → (column, offset) over one window per key.
-
-    With ``split_by=(name, expr)`` (a day or month of the leading order column),
-    keys with more than ``hot_rows`` rows are found first (one pass over the key
-    column, bounded result); if there are any, their rows take ``lags_split``,
-    the rest the one-window path.
-    """
-    def plain(d: DataFrame) -> DataFrame:
-        return lags_one_window(d, key, order, lags, rn="_rn").drop("_rn")
-
-    if split_by is None or hot_rows is None:
-        return plain(df)
-    hot = hot_keys(df, key, hot_rows, max_hot)
-    if hot.isEmpty():
-        return plain(df)
-    name, expr = split_by
-    tagged = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-    normal = tagged.where(F.col("_hot").isNull()).select(*df.columns)
-    heavy = tagged.where(F.col("_hot").isNotNull()).select(*df.columns).withColumn(name, expr)
-    split = lags_split(heavy, key, name, order, lags, rn="_rn").drop("_rn", name)
-    return plain(normal).unionByName(split)
+              group: Column) -> DataFrame:
+    """Add lag columns name → (column, offset); see ``lags_split`` for ``group``."""
+    return lags_split(df, key, group, order, lags, rn="_rn").drop("_rn")
 
 
 # --- joins ---------------------------------------------------------------------

@@ -1,10 +1,8 @@
 """Link listing over stored pages: anchors whose text carries a keyword (and,
 optionally, a year in a range), with absolute URLs.
 
-The batch downloader this replaces scraped one listing page and kept links whose
-text contained a year and a keyword; here the same filter runs over the whole
-``pages`` table: anchors are extracted with ``regexp_extract_all``, exploded, and
-filtered — all built-in expressions, one pass, no shuffle.
+The whole ``pages`` table is filtered with built-in expressions in one pass, no
+shuffle: anchors in any case, with nested markup and any quoting of ``href``.
 """
 
 from __future__ import annotations
@@ -12,12 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ANCHOR = r"<a\s[^>]*>[^<]*</a>"
-HREF = r'href="([^"]*)"'
-TEXT = r">([^<]*)</a>"
-SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*://"
-ORIGIN = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)"
-DIRECTORY = r"^([^?#]*/)"
+# An attribute value may hold ">" only in quotes.
+ATTRIBUTES = r"""((?:[^>"']|"[^"]*"|'[^']*')*)"""
+ANCHOR = r"(?is)<a(?=[\s>])" + ATTRIBUTES + r">.*?</a\s*>"
+OPENING = r"(?is)^<a" + ATTRIBUTES + ">"
+# Not data-href: the name must stand at the start or after white space.
+HREF = r"""(?is)(?:^|\s)href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+MARKUP = r"""(?s)<!--.*?-->|<(?:[^>"']|"[^"]*"|'[^']*')*>"""
+SCHEME = r"^[a-zA-Z][a-zA-Z0-9+.-]*:"
+AUTHORITY = r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)"
 
 
 def year_pattern(year_from: int, year_to: int) -> str:
@@ -25,25 +26,36 @@ def year_pattern(year_from: int, year_to: int) -> str:
 
 
 def absolute_url(page_url: Column, href: Column) -> Column:
-    origin = F.regexp_extract(page_url, ORIGIN, 1)
-    has_path = page_url.rlike(SCHEME + r"[^/?#]+/")
-    directory = F.when(has_path, F.regexp_extract(page_url, DIRECTORY, 1)).otherwise(
-        F.concat(origin, F.lit("/")))
+    """``href`` as seen from ``page_url``; links with a scheme of their own (mailto: too) stay as they are."""
+    site = F.regexp_extract(page_url, AUTHORITY, 1)
+    document = F.regexp_replace(page_url, r"#.*$", "")
+    path = F.regexp_replace(document, r"\?.*$", "")
+    folder = F.when(F.length(path) > F.length(site), F.regexp_replace(path, r"[^/]*$", "")).otherwise(
+        F.concat(site, F.lit("/")))
     return (F.when(href.rlike(SCHEME), href)
-            .when(href.startswith("/"), F.concat(origin, href))
-            .otherwise(F.concat(directory, href)))
+            .when(href == "", document)
+            .when(href.startswith("//"), F.concat(F.regexp_extract(page_url, SCHEME, 0), href))
+            .when(href.startswith("/"), F.concat(site, href))
+            .when(href.startswith("#"), F.concat(document, href))
+            .when(href.startswith("?"), F.concat(path, href))
+            .otherwise(F.concat(folder, href)))
 
 
 def page_links(pages: DataFrame, keyword: str, year_from: int | None = None,
                year_to: int | None = None) -> DataFrame:
+    """page_id, link_text, href, link_url of every anchor with a target whose text has
+    ``keyword`` and, if given, a year of the range.  Text: markup removed,
+    white space runs as one space."""
     anchors = pages.select("page_id", "url",
                            F.explode(F.regexp_extract_all("html", F.lit(ANCHOR), 0)).alias("anchor"))
-    text = F.regexp_extract("anchor", TEXT, 1)
-    href = F.regexp_extract("anchor", HREF, 1)
-    cond = text.contains(keyword)
+    inner = F.regexp_replace(F.regexp_replace("anchor", OPENING, ""), r"(?is)</a\s*>$", "")
+    text = F.trim(F.regexp_replace(F.regexp_replace(inner, MARKUP, ""), r"\s+", " "))
+    attributes = F.regexp_extract("anchor", OPENING, 1)
+    values = [F.regexp_extract(attributes, HREF, i) for i in (1, 2, 3)]
+    cond = attributes.rlike(HREF) & text.contains(keyword)
     if year_from is not None and year_to is not None:
         cond = cond & text.rlike(year_pattern(year_from, year_to))
-    return (anchors.select("page_id", "url", text.alias("link_text"), href.alias("href"))
-            .where(cond)
+    return (anchors.where(cond)
+            .select("page_id", "url", text.alias("link_text"), F.trim(F.concat(*values)).alias("href"))
             .select("page_id", "link_text", "href",
                     absolute_url(F.col("url"), F.col("href")).alias("link_url")))

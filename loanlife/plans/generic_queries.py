@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from loanlife.functions.exprs import (as_number, month_diff, ne_null_safe, nullsum, quarter_label,
-                                      rate_fallback, transition_label, vintage, waterfall)
+                                      quarter_starts, rate_fallback, transition_label, vintage, waterfall)
 from loanlife.operators import generic as G
 from loanlife.operators.detail import PRIOR_COLUMNS
 from loanlife.operators.links import page_links
 from loanlife.plans import oracle as O
 from loanlife.plans.queries import _detail, register
+from loanlife.plans.sql_surface import sql_master
 from loanlife.schema import SVCG_SPEC
 from loanlife.session import scratch_path
 from loanlife.sources import ingest, sink
@@ -45,9 +47,9 @@ def EV_ORDER():
     return [F.col("ts").asc(), F.col("event_id").asc()]
 
 
-def _DAY():
-    """Sub-group for hot users' lags: the event's day (never decreases along ts)."""
-    return ("_day", F.to_date("ts"))
+def EV_GROUP():
+    """Group for users' lags: the event's month (never decreases along ts)."""
+    return F.trunc("ts", "month")
 
 
 def EV_ORDER_DESC():
@@ -77,62 +79,91 @@ def q_ingest_by_quarter(spark, sf):
     (orig.hint("rebalance", "orign_qtr").write.mode("overwrite").partitionBy("orign_qtr")
      .option("sep", "|").option("header", "false").csv(path))
     file_spec = [s for s in PANEL_ORIG_SPEC if s[0] != "orign_qtr"]
-    raw = ingest.read_quarterly(spark, path, file_spec)
+    raw = ingest.read_delimited(spark, path, file_spec, label="orign_qtr")
     return ingest.typed_parse(raw, PANEL_ORIG_SPEC).select(*ORIG_COLUMNS)
 
 
 @register("append_quarters", f"{O.PANEL}\nSELECT * FROM orig")
 def q_append_quarters(spark, sf):
+    """Two batches appended, then the second written again: no row twice, none lost."""
     path = scratch_path(spark, "append")
     orig = _orig(spark, sf)
-    early = F.col("dt_first_pi") < 199800
+    early = F.coalesce(F.col("orign_qtr").endswith("1996") | F.col("orign_qtr").endswith("1997"), F.lit(False))
     ingest.append_partitioned(orig.where(early), path, mode="overwrite")
-    ingest.append_partitioned(orig.where(~early), path, mode="append")
+    ingest.append_partitioned(orig.where(~early), path)
+    ingest.replace_quarters(orig.where(~early), path)
     return spark.read.parquet(path).select(*ORIG_COLUMNS)
 
 
 @register("sql_surface", f"""{O.BASE},
-{O.TRM},
-md AS (SELECT id_loan, 1 AS mod_ind FROM (SELECT DISTINCT id_loan FROM detail WHERE flag_mod = 'Y'))
-SELECT a.id_loan,
-  CASE WHEN f.cd_zero_bal IN ('01','06') THEN 1 END AS prepay_count,
-  CASE WHEN f.cd_zero_bal IN ('03','09') THEN 1 END AS default_count,
-  CASE WHEN f.cd_zero_bal IN ('01','06') THEN f.prior_upb END AS prepay_upb,
-  CASE WHEN f.cd_zero_bal IS NULL OR trim(f.cd_zero_bal) = '' THEN f.act_endg_upb END AS rmng_upb,
-  md.mod_ind
-FROM og a LEFT JOIN trm f ON a.id_loan = f.id_loan LEFT JOIN md ON a.id_loan = md.id_loan""")
+last_row AS (SELECT id_loan, arg_max(struct_pack(c := cd_zero_bal, p := prior_upb, u := act_endg_upb), rn) AS t,
+                    max(CASE WHEN flag_mod = 'Y' THEN 1 END) AS mod_ind
+             FROM detail GROUP BY id_loan)
+SELECT DISTINCT orig.id_loan,
+  CASE WHEN t.c = '01' OR t.c = '06' THEN 1 END AS prepay_count,
+  CASE WHEN t.c = '03' OR t.c = '09' THEN 1 END AS default_count,
+  CASE WHEN t.c = '01' OR t.c = '06' THEN t.p END AS prepay_upb,
+  CASE WHEN COALESCE(trim(t.c), '') = '' THEN t.u END AS rmng_upb, mod_ind
+FROM orig LEFT JOIN last_row USING (id_loan)""")
 def q_sql_surface(spark, sf):
-    from loanlife.operators.events import loan_events
-    orig, svcg = panel(spark, sf)
-    from loanlife.operators.detail import servicing_detail
-    loan_events(servicing_detail(svcg, orig), only=["terminal", "first_mod"]).createOrReplaceTempView(
-        "loanlife_events")
-    orig.createOrReplaceTempView("loanlife_orig")
-    return spark.sql("""
-      SELECT o.id_loan,
-        CASE WHEN e.terminal.cd_zero_bal IN ('01','06') THEN 1 END AS prepay_count,
-        CASE WHEN e.terminal.cd_zero_bal IN ('03','09') THEN 1 END AS default_count,
-        CASE WHEN e.terminal.cd_zero_bal IN ('01','06') THEN e.terminal.prior_upb END AS prepay_upb,
-        CASE WHEN e.terminal.cd_zero_bal IS NULL OR trim(e.terminal.cd_zero_bal) = ''
-             THEN e.terminal.act_endg_upb END AS rmng_upb,
-        CASE WHEN e.first_mod IS NOT NULL THEN 1 END AS mod_ind
-      FROM (SELECT DISTINCT * FROM loanlife_orig) o LEFT JOIN loanlife_events e ON o.id_loan = e.id_loan""")
-
-
-@register("page_links", r"""WITH a AS (
-  SELECT page_id, url, UNNEST(regexp_extract_all(html, '<a\s[^>]*>[^<]*</a>')) AS anchor FROM pages),
-b AS (SELECT page_id, url, regexp_extract(anchor, '>([^<]*)</a>', 1) AS link_text,
-             regexp_extract(anchor, 'href="([^"]*)"', 1) AS href FROM a)
+    return sql_master(*panel(spark, sf, cluster=True)).select(
+        "id_loan", "prepay_count", "default_count", "prepay_upb", "rmng_upb", "mod_ind")
+
+
+@register("sql_surface_master", O.master_sql())
+def q_sql_surface_master(spark, sf):
+    return sql_master(*panel(spark, sf, cluster=True))
+
+
+@register("page_links", """
+WITH pieces AS (SELECT page_id, url, UNNEST(string_split(html, '<a href="')[2:]) AS p FROM pages),
+links AS (SELECT page_id, url, split_part(p, '"', 1) AS href,
+                 split_part(substr(p, strpos(p, '">') + 2), '</a>', 1) AS link_text FROM pieces),
+sites AS (SELECT *, split_part(split_part(url, '?', 1), '#', 1) AS path,
+                 list_aggregate(string_split(url, '/')[1:3], 'string_agg', '/') AS site FROM links)
 SELECT page_id, link_text, href,
-  CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*://') THEN href
-       WHEN starts_with(href, '/') THEN regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) || href
-       WHEN regexp_matches(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]+/') THEN regexp_extract(url, '^([^?#]*/)', 1) || href
-       ELSE regexp_extract(url, '^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)', 1) || '/' || href END AS link_url
-FROM b WHERE contains(link_text, 'the')""")
+  CASE WHEN contains(href, '://') THEN href
+       WHEN href[1] = '/' THEN site || href
+       WHEN path = site THEN site || '/' || href
+       ELSE list_aggregate(string_split(path, '/')[:-2], 'string_agg', '/') || '/' || href END AS link_url
+FROM sites WHERE contains(link_text, 'the')""")
 def q_page_links(spark, sf):
     return page_links(_t(spark, sf, "pages"), keyword="the")
 
 
+# A listing page per origination quarter, as an index of quarterly files would look:
+# each quarter's link in another spelling, besides links that the filter must not take.
+_LISTING_KINDS = 4
+
+
+@register("page_links_years", f"""{O.PANEL},
+q AS (SELECT DISTINCT orign_qtr AS q, row_number() OVER (ORDER BY orign_qtr) - 1 AS i
+      FROM (SELECT DISTINCT orign_qtr FROM orig))
+SELECT i AS page_id, 'historical data ' || q || ' full' AS link_text,
+  CASE i % 4 WHEN 0 THEN 'data_' || q || '.zip' WHEN 1 THEN '/files/data_' || q || '.zip'
+             WHEN 2 THEN '//cdn.example/data_' || q || '.zip' ELSE '?file=' || q END AS href,
+  CASE i % 4 WHEN 0 THEN 'https://feeds.example/index/data_' || q || '.zip'
+             WHEN 1 THEN 'https://feeds.example/files/data_' || q || '.zip'
+             WHEN 2 THEN 'https://cdn.example/data_' || q || '.zip'
+             ELSE 'https://feeds.example/index/list?file=' || q END AS link_url
+FROM q WHERE q[3:] IN ('1993', '1994', '1995', '1996')""")
+def q_page_links_years(spark, sf):
+    quarters = _orig(spark, sf).select("orign_qtr").distinct().withColumn(
+        "i", (F.row_number().over(Window.orderBy("orign_qtr")) - 1).cast("bigint"))
+    q = F.col("orign_qtr")
+    spellings = [
+        F.format_string("<A data-href=\"/no\" HREF='data_%s.zip'>historical <b>data</b> %s full</A >", q, q),
+        F.format_string("<a\n class=\"x>y\" href = \"/files/data_%s.zip\">historical data\n  %s <i>full</i></a>", q, q),
+        F.format_string("<a href=//cdn.example/data_%s.zip>historical data <!-- > -->%s full</a>", q, q),
+        F.format_string("<a href=\"?file=%s\"><span>historical data %s</span> full</a>", q, q)]
+    own = F.element_at(F.array(*spellings), (F.col("i") % _LISTING_KINDS + 1).cast("int"))
+    others = F.format_string("<a href=\"mailto:desk@feeds.example\">historical questions</a>"
+                             "<a name=\"%s\">historical %s</a><a href=\"/s\">sample %s</a>", q, q, q)
+    pages = quarters.select(F.col("i").alias("page_id"), F.lit("https://feeds.example/index/list?x=1#top").alias("url"),
+                            F.concat(F.lit("<p>"), own, others, F.lit("</p>")).alias("html"))
+    return page_links(pages, keyword="historical", year_from=1993, year_to=1996)
+
+
 # --- cleaning, projections, filters ---------------------------------------------------
 
 @register("dedupe_rows", "SELECT DISTINCT * FROM (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem)")
@@ -275,7 +306,7 @@ def q_first_by_bucket(spark, sf):
           "lag(value) OVER w AS prev_value FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)")
 def q_lag1(spark, sf):
     return G.with_lags(_events(spark, sf), "user_id", EV_ORDER(), {
-        "prev_event_type": ("event_type", 1), "prev_value": ("value", 1)}, split_by=_DAY()).select(
+        "prev_event_type": ("event_type", 1), "prev_value": ("value", 1)}, group=EV_GROUP()).select(
         "event_id", "user_id", "prev_event_type", "prev_value")
 
 
@@ -284,7 +315,7 @@ def q_lag1(spark, sf):
           "WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)")
 def q_lag2(spark, sf):
     return G.with_lags(_events(spark, sf), "user_id", EV_ORDER(), {
-        "prev2_event_type": ("event_type", 2), "prev2_value": ("value", 2)}, split_by=_DAY()).select(
+        "prev2_event_type": ("event_type", 2), "prev2_value": ("value", 2)}, group=EV_GROUP()).select(
         "event_id", "user_id", "prev2_event_type", "prev2_value")
 
 
@@ -393,7 +424,6 @@ FROM (SELECT UNNEST(generate_series(date_trunc('quarter', min(o_orderdate)),
                                     date_trunc('quarter', max(o_orderdate)), INTERVAL 3 MONTH)) AS d
       FROM orders)""")
 def q_quarter_series(spark, sf):
-    span = _t(spark, sf, "orders").agg(F.trunc(F.min("o_orderdate"), "quarter").alias("lo"),
-                                       F.trunc(F.max("o_orderdate"), "quarter").alias("hi"))
-    qs = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 3 MONTHS"))).alias("qtr_start"))
+    span = _t(spark, sf, "orders").agg(F.min("o_orderdate").alias("lo"), F.max("o_orderdate").alias("hi"))
+    qs = span.select(F.explode(quarter_starts("lo", "hi")).alias("qtr_start"))
     return qs.select("qtr_start", quarter_label("qtr_start").alias("orign_qtr"))

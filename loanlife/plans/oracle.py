@@ -1,9 +1,10 @@
 """DuckDB SQL for every registered query (the driver's correctness oracle).
 
 The loan operators are written here in a different shape from the Spark code on
-purpose: per-event ``row_number`` filters and a chain of left joins (the shape of
-the original batch program) against Spark's single window + conditional
-aggregates, so that a mistake shared by both is unlikely.
+purpose: a loan's rows are one ordered list whose elements look back by index
+(no windows), events are ``arg_min`` / ``arg_max`` over the detail, and amounts
+are rounded through absolute values in 128-bit integers, so that a mistake shared
+by both is unlikely.
 """
 
 from __future__ import annotations
@@ -90,33 +91,29 @@ def _num(e: str) -> str:
             f"THEN CAST(trim({e}) AS DOUBLE) END")
 
 
-def _detail(src: str, extra_order: str = "") -> str:
-    """Detail rows over CTE ``src`` (deduplicated rows)."""
-    order = _ORDER + (f", {extra_order} ASC NULLS FIRST" if extra_order else "")
-    return f"""lagged AS (
-  SELECT *, CAST(row_number() OVER w AS INTEGER) AS rn,
-    lag(delq_sts, 1) OVER w AS l1_sts, lag(delq_sts, 2) OVER w AS l2_sts,
-    lag(act_endg_upb, 1) OVER w AS l1_upb, lag(period, 1) OVER w AS l1_period,
-    lag(new_int_rt, 1) OVER w AS l1_rate, lag(amt_non_int_brng_upb, 1) OVER w AS l1_frb
-  FROM {src}
-  WINDOW w AS (PARTITION BY id_loan ORDER BY {order})),
-pri AS (
-  SELECT * EXCLUDE (l1_sts, l2_sts, l1_upb, l1_period, l1_rate, l1_frb),
-    CASE WHEN rn = 1 THEN '00' ELSE l1_sts END AS prior_delq_sts,
-    CASE WHEN rn = 1 THEN '00' WHEN rn >= 3 THEN l2_sts END AS prior_delq_sts_2,
-    CASE WHEN rn > 1 THEN l1_period END AS prior_period,
-    CASE WHEN rn = 1 THEN CAST(0 AS {MONEY}) ELSE l1_upb END AS prior_upb,
-    CASE WHEN rn = 1 THEN new_int_rt ELSE l1_rate END AS prior_int_rt,
-    CASE WHEN rn > 1 THEN l1_frb END AS prior_frb_upb
-  FROM lagged),
-pdiff AS (SELECT *, CAST({_mi('period')} - {_mi('prior_period')} AS INT) AS period_diff FROM pri),
+def _detail(src: str, extra: str = "") -> str:
+    """Detail rows over CTE ``src`` (deduplicated rows): each loan's rows as one ordered list."""
+    columns = SVCG_COLUMNS[1:] + ([extra] if extra else [])
+    order = _ORDER + (f", {extra} ASC NULLS FIRST" if extra else "")
+    return f"""listed AS (
+  SELECT id_loan, list(struct_pack({', '.join(f'{c} := {c}' for c in columns)}) ORDER BY {order}) AS h
+  FROM {src} GROUP BY id_loan),
+placed AS (SELECT id_loan, h, UNNEST(range(1, len(h) + 1)) AS i FROM listed),
+looked AS (
+  SELECT id_loan, {', '.join(f'h[i].{c} AS {c}' for c in columns)}, i::INTEGER AS rn,
+    CASE WHEN i > 1 THEN h[i - 1].delq_sts ELSE '00' END AS prior_delq_sts,
+    CASE WHEN i > 2 THEN h[i - 2].delq_sts WHEN i = 1 THEN '00' END AS prior_delq_sts_2,
+    CASE WHEN i > 1 THEN h[i - 1].period END AS prior_period,
+    CASE WHEN i > 1 THEN h[i - 1].act_endg_upb ELSE 0::{MONEY} END AS prior_upb,
+    h[greatest(i - 1, 1)].new_int_rt AS prior_int_rt,
+    CASE WHEN i > 1 THEN h[i - 1].amt_non_int_brng_upb END AS prior_frb_upb
+  FROM placed),
 detail AS (
-  SELECT *,
-    CASE WHEN delq_sts IS DISTINCT FROM 'R' THEN delq_sts
-         WHEN period_diff = 1 AND prior_delq_sts = '5' THEN '6'
-         WHEN period_diff = 1 AND prior_delq_sts = '3' THEN '4'
-         WHEN period_diff = 1 AND prior_delq_sts = '2' THEN '3' END AS delq_sts_new
-  FROM pdiff)"""
+  SELECT *, CAST({_mi('period')} - {_mi('prior_period')} AS INT) AS period_diff,
+    CASE WHEN COALESCE(delq_sts, '') <> 'R' THEN delq_sts
+         WHEN {_mi('period')} = {_mi('prior_period')} + 1
+         THEN CASE prior_delq_sts WHEN '2' THEN '3' WHEN '3' THEN '4' WHEN '5' THEN '6' END END AS delq_sts_new
+  FROM looked)"""
 
 
 # Detail joined to orig (servicing_detail): inner join, then the window.
@@ -129,15 +126,11 @@ BASE = f"WITH {LOANS},\n{ORIG},\n{SVCG},\n{JOINED},\n{_detail('j', 'orig_upb')}"
 _WF = "COALESCE(NULLIF({a}, 0), NULLIF({b}, 0), {c})"
 
 
-def _first(cond: str) -> str:
-    """First detail row per loan meeting ``cond`` (row_number form)."""
-    return (f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_loan ORDER BY rn) AS r "
-            f"FROM detail WHERE {cond}) WHERE r = 1)")
-
-
-def _last() -> str:
-    return ("(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id_loan ORDER BY rn DESC) AS r "
-            "FROM detail) WHERE r = 1)")
+def _event(cond: str, ind: str, upb: str) -> str:
+    """(id_loan, indicator, balance) at a loan's first detail row meeting ``cond``."""
+    return (f"SELECT id_loan, 1 AS {ind}, {_WF.format(a='e.a', b='e.b', c='e.c')} AS {upb} "
+            f"FROM (SELECT id_loan, arg_min(struct_pack(a := act_endg_upb, b := prior_upb, c := orig_upb), rn) AS e "
+            f"FROM detail WHERE {cond} GROUP BY id_loan)")
 
 
 BUCKET_SQL = {"1": "dlq_ever30", "2": "dlq_ever60", "3": "dlq_everd90", "4": "dlq_everd120",
@@ -149,21 +142,15 @@ D180_COND = (f"(delq_sts_new = '6' OR ((cd_zero_bal = '03' OR delq_sts = 'R') "
 
 def bucket_sql(bucket: str) -> str:
     name = BUCKET_SQL[bucket]
-    return (f"{BASE}\nSELECT id_loan, 1 AS {name}_ind, "
-            f"{_WF.format(a='act_endg_upb', b='prior_upb', c='orig_upb')} AS {name}_upb "
-            f"FROM {_first(f'delq_sts_new = {chr(39)}{bucket}{chr(39)}')} x")
+    return f"{BASE}\n" + _event(f"delq_sts_new = '{bucket}'", f"{name}_ind", f"{name}_upb")
 
 
 def pd_d180_sql() -> str:
-    return (f"{BASE}\nSELECT id_loan, 1 AS pd_d180_ind, "
-            f"{_WF.format(a='act_endg_upb', b='prior_upb', c='orig_upb')} AS pd_d180_upb "
-            f"FROM {_first(D180_COND)} x")
+    return f"{BASE}\n" + _event(D180_COND, "pd_d180_ind", "pd_d180_upb")
 
 
 def first_mod_sql() -> str:
-    return (f"{BASE}\nSELECT id_loan, 1 AS mod_ind, "
-            f"{_WF.format(a='act_endg_upb', b='prior_upb', c='orig_upb')} AS mod_upb "
-            f"FROM {_first(chr(39).join(['flag_mod = ', 'Y', '']))} x")
+    return f"{BASE}\n" + _event("flag_mod = 'Y'", "mod_ind", "mod_upb")
 
 
 TERMINAL_PAYLOAD_SQL = (
@@ -174,14 +161,19 @@ TERMINAL_PAYLOAD_SQL = (
 
 _LABEL = "TRIM(CONCAT(COALESCE(CAST({a} AS VARCHAR), ''), ' to ', COALESCE(CAST({b} AS VARCHAR), '')))"
 
-TRM = f"""trm AS (
-  SELECT t.id_loan, {', '.join('t.' + c.strip() for c in TERMINAL_PAYLOAD_SQL.split(','))}, o.orig_upb,
-    CASE WHEN t.cd_zero_bal IN ('03','09') THEN {_WF.format(a='t.act_endg_upb', b='t.prior_upb', c='o.orig_upb')} END AS default_upb,
-    COALESCE(NULLIF(t.new_int_rt, 0), t.prior_int_rt) AS current_int_rt,
-    {_LABEL.format(a='t.prior_delq_sts', b='t.delq_sts')} AS delq_string,
-    {_LABEL.format(a='t.prior_period', b='t.period')} AS month_string,
-    o.orign_qtr, SUBSTR(t.id_loan, 3, 2) AS vintage
-  FROM {_last()} t JOIN og o ON t.id_loan = o.id_loan)"""
+_TERMINAL = [c.strip() for c in TERMINAL_PAYLOAD_SQL.split(",")]
+
+TRM = f"""ends AS (
+  SELECT id_loan, arg_max(struct_pack({', '.join(f'{c} := {c}' for c in _TERMINAL)}), rn) AS e
+  FROM detail GROUP BY id_loan),
+trm AS (
+  SELECT id_loan, e.*, orig_upb,
+    CASE WHEN e.cd_zero_bal IN ('03','09') THEN {_WF.format(a='e.act_endg_upb', b='e.prior_upb', c='orig_upb')} END AS default_upb,
+    COALESCE(NULLIF(e.new_int_rt, 0), e.prior_int_rt) AS current_int_rt,
+    {_LABEL.format(a='e.prior_delq_sts', b='e.delq_sts')} AS delq_string,
+    {_LABEL.format(a='e.prior_period', b='e.period')} AS month_string,
+    orign_qtr, id_loan[3:4] AS vintage
+  FROM ends JOIN og USING (id_loan))"""
 
 
 def terminal_sql() -> str:
@@ -189,10 +181,10 @@ def terminal_sql() -> str:
 
 
 def _accrued(principal: str, rate: str, days: str) -> str:
-    num = (f"(CAST(({principal})*100 AS BIGINT) * CAST((({rate}) - 0.35)*1000 AS BIGINT) "
-           f"* CAST({days} AS BIGINT))")
-    return (f"CAST(CAST(CASE WHEN {num} < 0 THEN -((180000000 - {num}) // 360000000) "
-            f"ELSE ({num} + 180000000) // 360000000 END AS DECIMAL(18,1)) * 0.1 AS DECIMAL(18,1))")
+    """Half away from zero, by the absolute value in 128-bit integers (units of 1e-5 times 360 x 100)."""
+    units = f"(({principal}) * 100)::HUGEINT * ((({rate}) - 0.35) * 1000)::HUGEINT * ({days})::HUGEINT"
+    return (f"CAST((sign({units}) * ((2 * abs({units}) + 360000000) // 720000000))::DECIMAL(18,0) / 10 "
+            "AS DECIMAL(18,1))")
 
 
 def _nullsum(a: str, b: str) -> str:
@@ -244,41 +236,35 @@ def default_disposition_sql() -> str:
             f"{_nullsum(_num('dflt_delq_sts'), 'CAST(0 AS DOUBLE)')} AS mths_dlq_dflt_acqn, frb_upb, vintage FROM dd")
 
 
-def _event_cte(name: str, cond: str, ind: str, upb: str) -> str:
-    return (f"{name} AS (SELECT id_loan, 1 AS {ind}, "
-            f"{_WF.format(a='act_endg_upb', b='prior_upb', c='orig_upb')} AS {upb} FROM {_first(cond)} x)")
-
-
 def master_sql() -> str:
-    ctes = [TRM, LOSS]
-    joins = []
-    cols = []
-    for i, (b, name) in enumerate(BUCKET_SQL.items(), 1):
-        ctes.append(_event_cte(f"p{i}", f"delq_sts_new = '{b}'", f"{name}_ind", f"{name}_upb"))
-        joins.append(f"LEFT JOIN p{i} ON a.id_loan = p{i}.id_loan")
-        cols += [f"p{i}.{name}_ind", f"p{i}.{name}_upb"]
-    ctes.append(_event_cte("md", "flag_mod = 'Y'", "mod_ind", "mod_upb"))
-    ctes.append(_event_cte("pd", D180_COND, "pd_d180_ind", "pd_d180_upb"))
-    orig_cols = ", ".join(f"a.{c}" for c in ORIG_COLUMNS)
+    """One aggregate over the detail for all events, one join to the origination."""
+    events = [(f"delq_sts_new = '{b}'", f"{name}_ind", f"{name}_upb") for b, name in BUCKET_SQL.items()]
+    events += [("flag_mod = 'Y'", "mod_ind", "mod_upb"), (D180_COND, "pd_d180_ind", "pd_d180_upb")]
+    firsts = ",\n    ".join(
+        f"arg_min(struct_pack(a := act_endg_upb, b := prior_upb, c := orig_upb), rn) FILTER (WHERE {cond}) AS {upb}"
+        for cond, _, upb in events)
+    told = ",\n  ".join(f"CASE WHEN s.{upb} IS NOT NULL THEN 1 END AS {ind}, "
+                         + _WF.format(a=f"s.{upb}.a", b=f"s.{upb}.b", c=f"s.{upb}.c") + f" AS {upb}"
+                         for _, ind, upb in events)
     return f"""{BASE},
-{',\n'.join(ctes)}
-SELECT {orig_cols},
-  i.collateral_deficiency, f.current_int_rt, f.repch_flag, f.cd_zero_bal, f.dt_zero_bal AS zero_bal_period,
-  f.expenses, f.mi_recoveries, f.non_mi_recoveries, f.net_sale_proceeds, f.actual_loss, f.legal_costs,
-  f.maint_pres_costs, f.taxes_ins_costs, f.misc_costs, f.modcost, f.dt_lst_pi,
-  f.delq_sts AS zero_bal_delq_sts, i.default_upb, i.dlq_accrued_interest,
-  {', '.join(cols)},
-  CASE WHEN f.cd_zero_bal IN ('01','06') THEN 1 END AS prepay_count,
-  CASE WHEN f.cd_zero_bal IN ('03','09') THEN 1 END AS default_count,
-  CASE WHEN f.cd_zero_bal IN ('01','06') THEN f.prior_upb END AS prepay_upb,
-  CASE WHEN f.cd_zero_bal IS NULL OR trim(f.cd_zero_bal) = '' THEN f.act_endg_upb END AS rmng_upb,
-  md.mod_ind, md.mod_upb, pd.pd_d180_ind, pd.pd_d180_upb
-FROM og a
-LEFT JOIN trm f ON a.id_loan = f.id_loan
-LEFT JOIN loss i ON a.id_loan = i.id_loan
-{chr(10).join(joins)}
-LEFT JOIN md ON a.id_loan = md.id_loan
-LEFT JOIN pd ON a.id_loan = pd.id_loan"""
+{TRM},
+{LOSS},
+story AS (
+  SELECT id_loan,
+    {firsts}
+  FROM detail GROUP BY id_loan)
+SELECT og.*,
+  loss.collateral_deficiency, trm.current_int_rt, trm.repch_flag, trm.cd_zero_bal, trm.dt_zero_bal AS zero_bal_period,
+  trm.expenses, trm.mi_recoveries, trm.non_mi_recoveries, trm.net_sale_proceeds, trm.actual_loss, trm.legal_costs,
+  trm.maint_pres_costs, trm.taxes_ins_costs, trm.misc_costs, trm.modcost, trm.dt_lst_pi,
+  trm.delq_sts AS zero_bal_delq_sts, trm.default_upb, loss.dlq_accrued_interest,
+  {told},
+  CASE WHEN trm.cd_zero_bal IN ('01','06') THEN 1 END AS prepay_count,
+  CASE WHEN trm.cd_zero_bal IN ('03','09') THEN 1 END AS default_count,
+  CASE WHEN trm.cd_zero_bal IN ('01','06') THEN trm.prior_upb END AS prepay_upb,
+  CASE WHEN COALESCE(trim(trm.cd_zero_bal), '') = '' THEN trm.act_endg_upb END AS rmng_upb
+FROM og LEFT JOIN trm ON trm.id_loan = og.id_loan LEFT JOIN loss ON loss.id_loan = og.id_loan
+  LEFT JOIN story s ON s.id_loan = og.id_loan"""
 
 
 PANEL = f"WITH {LOANS},\n{ORIG},\n{SVCG}"

@@ -38,7 +38,7 @@ def register(name: str, sql: str | None = None):
 # --- loan lifecycle (M1-M9) -------------------------------------------------
 
 def _detail(spark, sf):
-    orig, svcg = panel(spark, sf)
+    orig, svcg = panel(spark, sf, cluster=True)
     return servicing_detail(svcg, orig)
 
 
@@ -72,7 +72,7 @@ register("first_mod", oracle.first_mod_sql())(_first_event(mod_condition, "mod_i
 
 
 def _events(spark, sf):
-    orig, svcg = panel(spark, sf)
+    orig, svcg = panel(spark, sf, cluster=True)
     return loan_events(servicing_detail(svcg, orig), only=["terminal"]), orig
 
 
@@ -102,7 +102,7 @@ def q_default_disposition(spark, sf):
 
 @register("loan_master", oracle.master_sql())
 def q_loan_master(spark, sf):
-    orig, svcg = panel(spark, sf)
+    orig, svcg = panel(spark, sf, cluster=True)
     return loan_master(svcg, orig)
 
 

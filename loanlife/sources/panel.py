@@ -114,19 +114,19 @@ def servicing(loan_rows: DataFrame) -> DataFrame:
     )
 
 
-def panel(spark, sf_dir: str, partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+def panel(spark, sf_dir: str, cluster: bool = False) -> tuple[DataFrame, DataFrame]:
     """(origination, servicing) for the driver tables in ``sf_dir``.
 
     Only the five ``orders`` columns the projection uses are read (column pruning
-    reaches the parquet scan).  The loan rows are hash-partitioned by ``id_loan``
-    before the monthly rows are generated, so the panel comes out clustered by
-    loan, as a table bucketed by loan would: the per-loan window, the
-    origination dedupe and the master join then need no exchange of the panel,
-    and the generation runs in parallel even when ``orders`` is one small file.
-    The explicit partition count keeps AQE from collapsing this small shuffle.
+    reaches the parquet scan).  The plain projection has no shuffle.  With
+    ``cluster`` the small loan table is dealt out by ``id_loan`` before its monthly
+    rows are generated, so that the generation runs in parallel even when
+    ``orders`` is one small file.
     """
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
-    rows = loans(orders).repartition(n, "id_loan")
+    rows = loans(orders)
+    if cluster:
+        # A count keeps adaptive execution from merging this small shuffle into one task.
+        rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id_loan")
     return rows.select(*ORIG_COLUMNS), servicing(rows)

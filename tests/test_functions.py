@@ -83,3 +83,31 @@ def test_null_safe_inequality(spark):
     got = [r.x for r in spark.createDataFrame([("R",), ("3",), (None,)], "s string")
            .select(X.ne_null_safe("s", "R").alias("x")).collect()]
     assert got == [False, True, True]
+
+
+def test_accrued_interest_of_huge_balances_in_both_ansi_modes(spark):
+    rows = [(Decimal("900000000000.00"), Decimal("6.000"), 18000), (Decimal("-900000000000.00"), Decimal("6.000"), 18000),
+            (Decimal("999999999999.99"), Decimal("99.999"), 36000)]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for mode in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", mode)
+            got = (spark.createDataFrame(rows, "p decimal(14,2), r decimal(6,3), d int")
+                   .select("p", "r", "d", X.accrued_interest("p", "r", "d").alias("x")).collect())
+            assert [g.x for g in got] == [_py_accrued(g.p, g.r, g.d) for g in got], mode
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_money_beyond_the_type_is_no_number(spark):
+    rows = [("9999999999999999",), ("999999999999.99",), ("C",), (None,)]
+    got = [r.x for r in spark.createDataFrame(rows, "s string").select(X.as_money("s").alias("x")).collect()]
+    assert got == [None, Decimal("999999999999.99"), None, None]
+
+
+def test_quarters_back(spark):
+    df = spark.sql("SELECT DATE'1999-02-15' AS d, DATE'2000-01-01' AS e")
+    row = df.select(X.quarter_start("d").alias("a"), X.quarter_start("d", 5).alias("b"),
+                    X.quarter_starts("d", "e").alias("c")).first()
+    assert (str(row.a), str(row.b), [str(x) for x in row.c]) == (
+        "1999-01-01", "1997-10-01", ["1999-01-01", "1999-04-01", "1999-07-01", "1999-10-01", "2000-01-01"])

@@ -1,12 +1,16 @@
-"""Hot-loan path: same rows as the one-window path, and a hot loan is actually split."""
+"""Lags split by year: same rows as one window per loan, and no task gets a whole loan."""
 
 from __future__ import annotations
 
 from decimal import Decimal
 
 from conftest import frames, orig_row, svcg_row
-from loanlife.operators.detail import route_hot, hot_keys, servicing_detail
+from pyspark.sql import functions as F
+
+from loanlife.operators.detail import servicing_detail
+from loanlife.operators.generic import lags_one_window, with_lags
 from loanlife.operators.master import loan_master
+from loanlife.plans.queries import QUERIES
 from loanlife.sources.panel import panel
 from test_unit_loans import LOANS
 
@@ -14,20 +18,20 @@ SF = "/root/testdata/sf0.001"
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=str)
 
 
 def test_split_equals_one_window_on_driver_tables(spark):
     orig, svcg = panel(spark, SF)
-    assert _rows(servicing_detail(svcg, orig, hot_rows=0)) == _rows(servicing_detail(svcg, orig, hot_rows=None))
-    assert _rows(loan_master(svcg, orig, hot_rows=0)) == _rows(loan_master(svcg, orig, hot_rows=None))
+    assert _rows(servicing_detail(svcg, orig)) == _rows(servicing_detail(svcg, orig, bounded_loans=True))
+    assert _rows(loan_master(svcg, orig)) == _rows(loan_master(svcg, orig, bounded_loans=True))
 
 
 def test_split_equals_one_window_on_unit_loans(spark):
     rows = [svcg_row(k, s) for k, specs in LOANS.items() for s in specs]
     svcg, orig = frames(spark, rows, [orig_row(k) for k in LOANS])
-    assert _rows(servicing_detail(svcg, orig, hot_rows=0)) == _rows(servicing_detail(svcg, orig, hot_rows=None))
-    assert _rows(loan_master(svcg, orig, hot_rows=0)) == _rows(loan_master(svcg, orig, hot_rows=None))
+    assert _rows(servicing_detail(svcg, orig)) == _rows(servicing_detail(svcg, orig, bounded_loans=True))
+    assert _rows(loan_master(svcg, orig)) == _rows(loan_master(svcg, orig, bounded_loans=True))
 
 
 def _hot_panel(spark, months: int = 400, per_month: int = 3):
@@ -42,36 +46,47 @@ def _hot_panel(spark, months: int = 400, per_month: int = 3):
     return frames(spark, rows, [orig_row("HOT"), orig_row("COLD")])
 
 
-def test_hot_loan_is_routed_and_exact(spark):
+def test_hot_loan_is_exact_and_spread_over_tasks(spark):
     svcg, orig = _hot_panel(spark)
-    assert [r[0] for r in hot_keys(svcg, "id_loan", threshold=100).collect()] == ["HOT"]
-    normal, heavy = route_hot(svcg, hot_rows=100)
-    assert heavy is not None
-    assert {r[0] for r in heavy.select("id_loan").distinct().collect()} == {"HOT"}
-    assert {r[0] for r in normal.select("id_loan").distinct().collect()} == {"COLD"}
-    routed = _rows(servicing_detail(svcg, orig, hot_rows=100))
-    assert routed == _rows(servicing_detail(svcg, orig, hot_rows=None))
-    assert len(routed) == 400 * 3 + 2
-    m = {r["id_loan"]: r for r in loan_master(svcg, orig, hot_rows=100).collect()}
+    detail = servicing_detail(svcg, orig)
+    assert _rows(detail) == _rows(servicing_detail(svcg, orig, bounded_loans=True))
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        per_task = (servicing_detail(svcg, orig).where("id_loan = 'HOT'")
+                    .groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(per_task) >= 5 and max(r["count"] for r in per_task) < 400 * 3 / 2
+    m = {r["id_loan"]: r for r in loan_master(svcg, orig).collect()}
     assert m["HOT"]["dlq_ever30_upb"] == Decimal("998.00")   # lowest row of the first '1' month
     assert m["HOT"]["rmng_upb"] == Decimal("1000.00")        # highest row of the last month
 
 
-def test_no_hot_loans_keeps_plain_plan(spark):
-    orig, svcg = panel(spark, SF)
-    normal, heavy = route_hot(svcg)
-    assert heavy is None
-    p = loan_master(svcg, orig)._jdf.queryExecution().executedPlan().toString()
-    assert "Union" not in p and "_hot" not in p and "_sk" not in p
-
+def test_no_job_runs_while_loan_queries_are_built(spark):
+    spark.read.parquet(f"{SF}/orders.parquet")
+    for name in ("loan_master", "servicing_detail", "dlq_90", "terminal_record", "default_loss", "sql_surface_master",
+                 "union_all", "lag1", "lag2"):
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        try:
+            QUERIES[name](spark, SF)
+            # Reading a table's Parquet schema is a job of Spark's own; one for each table that is read.
+            jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{name}")
+            assert len(jobs) <= 1, (name, jobs)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
-def test_event_lags_split_by_day_equal_one_window(spark):
-    from pyspark.sql import functions as F
 
-    from loanlife.operators.generic import with_lags
+def test_event_lags_split_by_month_equal_one_window(spark):
     ev = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
+    ev = ev.unionByName(ev.limit(3).withColumn("user_id", F.lit(None).cast("bigint")).withColumn("event_id", F.col("event_id") + 10 ** 9))
     order = [F.col("ts").asc(), F.col("event_id").asc()]
     lags = {"p1": ("event_type", 1), "p2": ("value", 2), "p1v": ("value", 1)}
-    plain = _rows(with_lags(ev, "user_id", order, lags))
-    split = _rows(with_lags(ev, "user_id", order, lags, split_by=("_day", F.to_date("ts")), hot_rows=0))
-    assert split == plain and len(plain) == ev.count()
+    plain = _rows(lags_one_window(ev, "user_id", order, lags).drop("rn"))
+    for group in (F.to_date("ts"), F.trunc("ts", "month"), F.year("ts")):
+        split = _rows(with_lags(ev, "user_id", order, lags, group))
+        assert split == plain and len(plain) == ev.count()
