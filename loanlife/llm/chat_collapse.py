@@ -11,8 +11,8 @@ the turn's position, so that it can be summed in segments of ``SEGMENT`` turn
 numbers: no conversation, however long, is sorted or collected as one group.
 
 Defined results
-* turns are ordered by (turn, role, text), nulls first; rows repeated in all four
-  columns count once; null role and text count as empty;
+* turns are ordered by (turn, role), null turns first, and turns alike in both by a hash
+  of the text; rows repeated in all four columns count once; null role and text count as empty;
 * rows without a conversation id form one conversation with a null id, which
   stays only if no equal one has an id;
 * positions are counted within segments of turn numbers, so equal conversations
@@ -33,7 +33,12 @@ def _turns(df: DataFrame, conv_col: str, turn_col: str, role_col: str, text_col:
     return df.select(F.col(conv_col).cast("bigint").alias("conv_id"), F.col(turn_col).cast("bigint").alias("turn"),
                      F.coalesce(F.col(role_col), F.lit("")).alias("role"),
                      F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                     F.floor(F.coalesce(F.col(turn_col).cast("bigint"), F.lit(-1)) / SEGMENT).alias("part"))
+                     F.floor(F.coalesce(F.col(turn_col).cast("bigint"), F.lit(-1)) / SEGMENT).alias("part")).withColumns(
+        {"h1": F.xxhash64(F.lit(1), "role", "text"), "h2": F.xxhash64(F.lit(2), "text", "role")})
+
+
+def _in_order():
+    return Window.partitionBy("conv_id", "part").orderBy(F.col("turn").asc_nulls_first(), "role", "h1", "h2")
 
 
 def _same(left: str, right: str, *columns: str) -> Column:
@@ -47,10 +52,8 @@ def prefixes(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", r
              text_col: str = "text") -> DataFrame:
     """One row per turn: conv_id, depth (turns so far), p1, p2 (rolling hash), last."""
     turns = _turns(df, conv_col, turn_col, role_col, text_col)
-    hashed = turns.select("conv_id", "part", "turn", "role", F.xxhash64(F.lit(1), "role", "text").alias("h1"),
-                          F.xxhash64(F.lit(2), "text", "role").alias("h2")).distinct()
-    placed = hashed.withColumn("place", F.row_number().over(
-        Window.partitionBy("conv_id", "part").orderBy(F.col("turn").asc_nulls_first(), "role", "h1", "h2")))
+    hashed = turns.select("conv_id", "part", "turn", "role", "h1", "h2").distinct()
+    placed = hashed.withColumn("place", F.row_number().over(_in_order()))
     mixed = placed.select("conv_id", "part", "place",
                           F.xxhash64(F.lit(3), "part", "place", "h1", "h2").alias("g1"),
                           F.xxhash64(F.lit(4), "place", "part", "h2", "h1").alias("g2"))
@@ -83,14 +86,22 @@ def maximal(df: DataFrame, **columns: str) -> DataFrame:
 
 def render(df: DataFrame, kept: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
            role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """The kept conversations as text, one row per segment: conv_id, part, depth, copies, n_turns, rendered."""
+    """The kept conversations as text, in pieces of ``SEGMENT`` turns at most.
+
+    One row per piece: conv_id, part (segment of turn numbers), piece (in the part), depth,
+    copies, n_turns, rendered.  A part has several pieces only if turn numbers repeat.
+    """
     turns = _turns(df, conv_col, turn_col, role_col, text_col)
-    parts = (turns.alias("t").join(kept.alias("k").hint("merge"), _same("t", "k", "conv_id"))
-             .groupBy("t.conv_id", "part", "depth", "copies")
-             .agg(F.array_sort(F.collect_set(F.struct("turn", "role", "text"))).alias("turns")))
+    rows = turns.alias("t").join(kept.alias("k").hint("merge"), _same("t", "k", "conv_id")).select("t.*", "depth", "copies")
+    said = F.struct("turn", "role", "h1", "h2")
+    once = rows.withColumn("before", F.lag(said).over(_in_order())).where(~said.eqNullSafe(F.col("before")))
+    pieces = (once.withColumn("place", F.row_number().over(_in_order()))
+              .withColumn("piece", F.floor((F.col("place") - 1) / SEGMENT))
+              .groupBy("conv_id", "part", "piece", "depth", "copies")
+              .agg(F.array_sort(F.collect_list(F.struct("place", "role", "text"))).alias("turns")))
     line = F.transform("turns", lambda t: F.concat(F.lit("<|"), t["role"], F.lit("|>\n"), t["text"], F.lit("<|end|>\n")))
-    return parts.select("conv_id", "part", "depth", "copies", F.size("turns").cast("bigint").alias("n_turns"),
-                        F.array_join(line, "").alias("rendered"))
+    return pieces.select("conv_id", "part", "piece", "depth", "copies", F.size("turns").cast("bigint").alias("n_turns"),
+                         F.array_join(line, "").alias("rendered"))
 
 
 def collapse(df: DataFrame, **columns: str) -> DataFrame:

@@ -380,7 +380,7 @@ def drawn_page(rng: random.Random) -> str:
                   + (el("p", 0, prose()) if rng.random() < 0.4 else ""), attrs(["search", "login", "newsletter", "contact"]))
 
     def boiler():
-        kind = rng.randrange(9)
+        kind = rng.randrange(10)
         if kind == 0:
             return el("nav", 0, menu(), attrs(ASIDE_WORDS, 0.4))
         if kind == 1:
@@ -400,6 +400,8 @@ def drawn_page(rng: random.Random) -> str:
                       attrs(["cookie", "notice", "consent", "alert", "popup", "gdpr", "disclaimer"], 1))
         if kind == 7:
             return el("div", 0, menu(), attrs(["menu", "navigation", "related", "share", "social", "tags", "breadcrumb"], 1))
+        if kind == 8:
+            return el(rng.choice(("div", "p", "section")), 0, prose(), rng.choice((' style="display:none"', " hidden")))
         return f"<script>var x = '{word()}';</script>"
 
     def block():

@@ -180,7 +180,7 @@ ORACLE = {
                CASE WHEN page_id <> first THEN first END AS refers_to
         FROM named
     """,
-    # Prefixes compared as texts, segment 0 only: no conversation here has 256 turns.
+    # Prefixes compared as texts; one piece each, as no conversation here has 256 turns.
     "op9_chat_collapse": """
         WITH t AS (
             SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
@@ -196,7 +196,7 @@ ORACLE = {
             GROUP BY a.conv_id, a.turn),
         once AS (
             SELECT min(conv_id) AS conv_id, depth, count(*) AS copies, rendered FROM whole GROUP BY depth, rendered)
-        SELECT conv_id, 0::BIGINT AS part, depth, copies, depth AS n_turns, rendered
+        SELECT conv_id, 0::BIGINT AS part, 0::BIGINT AS piece, depth, copies, depth AS n_turns, rendered
         FROM once WHERE rendered NOT IN (SELECT so_far FROM inner_prefix)
     """,
 }

@@ -1,17 +1,21 @@
 import random
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from loanlife.llm import chat_collapse as C
 from loanlife.llm.queries import op9_chat_collapse
 
 DDL = "conv_id bigint, turn bigint, role string, text string"
 
 
-def brute(rows):
+def brute(spark, rows):
+    texts = spark.createDataFrame(sorted({(r or "", x or "") for _, _, r, x in rows}), "role string, text string")
+    tie = {(r["role"], r["text"]): r["h"] for r in texts.withColumn("h", F.xxhash64(F.lit(1), "role", "text")).collect()}
     turns = defaultdict(set)
     for conv, turn, role, text in rows:
-        turns[conv].add((turn is not None, turn or 0, role or "", text or ""))
-    said = {c: tuple((r, x) for _, _, r, x in sorted(t)) for c, t in turns.items()}
+        turns[conv].add((turn is not None, turn or 0, role or "", tie[role or "", text or ""], text or ""))
+    said = {c: tuple((r, x) for _, _, r, _, x in sorted(t)) for c, t in turns.items()}
     prefixes = {t[:i] for t in said.values() for i in range(1, len(t))}
     copies = Counter(said.values())
     out = []
@@ -27,11 +31,12 @@ def brute(rows):
 def collapsed(df):
     parts = defaultdict(list)
     for r in C.collapse(df).collect():
-        parts[(r["conv_id"], r["depth"], r["copies"])].append((r["part"], r["rendered"], r["n_turns"]))
+        assert r["n_turns"] <= C.SEGMENT
+        parts[(r["conv_id"], r["depth"], r["copies"])].append((r["part"], r["piece"], r["rendered"], r["n_turns"]))
     out = []
     for (conv, depth, copies), pieces in parts.items():
-        assert sum(n for _, _, n in pieces) == depth
-        out.append((conv, depth, copies, "".join(x for _, x, _ in sorted(pieces))))
+        assert sum(n for *_, n in pieces) == depth
+        out.append((conv, depth, copies, "".join(x for _, _, x, _ in sorted(pieces))))
     return sorted(out, key=str)
 
 
@@ -44,15 +49,16 @@ def test_random_snapshots_equal_brute_force(spark):
             cut = rng.randint(1, len(turns))
             rows += [(base * 10 + k, t, r, x) for t, r, x in turns[:cut]]
     rows += rows[:9] + [(None, 0, "user", "alone"), (999, None, "user", "no turn"), (999, 0, "user", "then"), (998, 0, "a", "tie"),
-                        (998, 0, "b", "tie"), (997, 0, "user", "long " * 30000)]
-    assert collapsed(spark.createDataFrame(rows, DDL)) == brute(rows)
+                        (998, 0, "b", "tie"), (996, 0, "a", "x"), (995, 0, "a", "x"), (995, 0, "a", "y"), (994, 0, "a", "y"), (997, 0, "user", "long " * 30000)]
+    assert collapsed(spark.createDataFrame(rows, DDL)) == brute(spark, rows)
 
 
 def test_long_conversations_cross_segments(spark):
     long = [(1, t, "user", f"turn {t}") for t in range(3 * C.SEGMENT + 5)]
     rows = long + [(2, *r[1:]) for r in long[:2 * C.SEGMENT]] + [(3, *r[1:]) for r in long] + [(4, *r[1:]) for r in long[:-1]] + [
         (4, 3 * C.SEGMENT + 4, "user", "another end")]
-    assert collapsed(spark.createDataFrame(rows, DDL)) == brute(rows)
+    rows += [(5, 0, "user", f"{i:05d}") for i in range(2 * C.SEGMENT + 9)]     # one turn number throughout
+    assert collapsed(spark.createDataFrame(rows, DDL)) == brute(spark, rows)
 
 
 def test_empty_table_and_extra_columns(spark, as_tables):
