@@ -75,9 +75,9 @@ def lags_one_window(df: DataFrame, key: str = KEY) -> DataFrame:
     return G.lags_one_window(df, key, _asc(order_columns(df, key)), LAGS)
 
 
-def lags_split(df: DataFrame, key: str = KEY) -> DataFrame:
+def lags_split(df: DataFrame, key: str = KEY, keep: str | None = None) -> DataFrame:
     """Same rows as ``lags_one_window``, from windows per (loan, year)."""
-    return G.lags_split(df, key, year_group(), _asc(order_columns(df, key)), LAGS)
+    return G.lags_split(df, key, year_group(), _asc(order_columns(df, key)), LAGS, keep=keep)
 
 
 def priors_from_lags(lagged: DataFrame) -> DataFrame:
@@ -97,12 +97,13 @@ def priors_from_lags(lagged: DataFrame) -> DataFrame:
     return priors.withColumn("delq_sts_new", delq_state())
 
 
-def with_priors(df: DataFrame, key: str = KEY, bounded_loans: bool = False) -> DataFrame:
+def with_priors(df: DataFrame, key: str = KEY, bounded_loans: bool = False, keep: str | None = None) -> DataFrame:
     """Exact copies removed; ``rn`` (row order within the loan), the prior_* columns,
-    period_diff and delq_sts_new added."""
+    period_diff and delq_sts_new added.  ``keep`` names a column for the year by
+    which (with the loan) the rows come out partitioned (not for bounded loans)."""
     if bounded_loans:
         return priors_from_lags(lags_one_window(drop_adjacent_copies(df, key), key))
-    return priors_from_lags(lags_split(dedupe_panel(df), key))
+    return priors_from_lags(lags_split(dedupe_panel(df), key, keep))
 
 
 def drop_adjacent_copies(df: DataFrame, key: str = KEY) -> DataFrame:

@@ -94,7 +94,7 @@ def lags_one_window(df: DataFrame, key, order: Sequence[Column],
 
 
 def lags_split(df: DataFrame, key: str, group: Column, order: Sequence[Column],
-               lags: dict[str, tuple[str, int]], rn: str = "rn") -> DataFrame:
+               lags: dict[str, tuple[str, int]], rn: str = "rn", keep: str | None = None) -> DataFrame:
     """Same rows as ``lags_one_window`` without a window over a whole key.
 
     ``group`` (an integer or date expression) must not decrease along ``order``:
@@ -103,12 +103,14 @@ def lags_split(df: DataFrame, key: str, group: Column, order: Sequence[Column],
     summary of the groups (row count, last row, second-to-last row) is windowed
     per key, which adds the row offset and the lags that reach into earlier
     groups.  Only the summary, one row per key and group, is shuffled again.
-    Offsets 1 and 2.
+    Offsets 1 and 2.  Rows without a key are one group.  ``keep`` names a column
+    for the group; the result stays partitioned and sorted by (key, group).
     """
     assert all(k in (1, 2) for _, k in lags.values())
     keyed = df.withColumn("_g", group)
     as_long = F.unix_date(F.col("_g")) if dict(keyed.dtypes)["_g"] == "date" else F.col("_g").cast("long")
-    keyed = keyed.withColumn("_g", F.coalesce(as_long, F.lit(-(2 ** 63)).cast("long")))
+    first = F.lit(-(2 ** 63)).cast("long")
+    keyed = keyed.withColumn("_g", F.when(F.col(key).isNotNull(), F.coalesce(as_long, first)).otherwise(first))
     wg = Window.partitionBy(key, "_g").orderBy(*order)
     x = keyed.select(
         "*", F.row_number().over(wg).alias("_rg"),
@@ -130,8 +132,9 @@ def lags_split(df: DataFrame, key: str, group: Column, order: Sequence[Column],
         F.lag("_last", 2).over(ws).alias("_pp_last"),
         F.coalesce(F.sum("_cnt").over(ws.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_offset"))
-    j = x.alias("x").join(bounds.alias("b"), F.col(f"x.{key}").eqNullSafe(F.col(f"b.{key}"))
-                          & (F.col("x._g") == F.col("b._g")), "inner")
+    # Plain keys on both sides keep the partitioning; rows without a key have no earlier group to look up.
+    j = x.alias("x").join(bounds.alias("b"), (F.col(f"x.{key}") == F.col(f"b.{key}"))
+                          & (F.col("x._g") == F.col("b._g")), "left")
     rg = F.col("_rg")
     out = []
     for n, (c, k) in lags.items():
@@ -141,7 +144,9 @@ def lags_split(df: DataFrame, key: str, group: Column, order: Sequence[Column],
         else:
             before = F.when(F.col("_p_cnt") >= 2, F.col("_p_second")[c]).otherwise(F.col("_pp_last")[c])
             out.append(F.when(rg > 2, inner).when(rg == 2, F.col("_p_last")[c]).otherwise(before).alias(n))
-    return j.select(*[F.col(f"x.{c}") for c in df.columns], (F.col("_offset") + rg).cast("int").alias(rn), *out)
+    group_col = [F.col("x._g").alias(keep)] if keep else []
+    return j.select(*[F.col(f"x.{c}") for c in df.columns], *group_col,
+                    (F.coalesce("_offset", F.lit(0)) + rg).cast("int").alias(rn), *out)
 
 
 def with_lags(df: DataFrame, key: str, order: Sequence[Column], lags: dict[str, tuple[str, int]],
