@@ -22,14 +22,17 @@ from loanlife.operators.detail import servicing_detail  # noqa: E402
 from loanlife.operators.events import BUCKETS, bucket_condition, d180_condition, mod_condition  # noqa: E402
 from loanlife.operators.master import loan_master  # noqa: E402
 from loanlife.operators.outcomes import T  # noqa: E402
+from loanlife.plans.job import read_feeds  # noqa: E402
 from loanlife.plans.queries import QUERIES  # noqa: E402
-from loanlife.session import local_session  # noqa: E402
+from loanlife.schema import ORIG_SPEC, SVCG_SPEC  # noqa: E402
+from loanlife.session import local_session, scratch_path  # noqa: E402
 from loanlife.sources.panel import panel  # noqa: E402
 
 HEADLINE = [
     "loan_master", "servicing_detail", "dlq_90", "pd_d180", "first_mod", "terminal_record",
     "default_loss", "default_disposition", "union_distinct", "first_by_bucket", "left_chain",
     "dedupe_rows", "join_three", "page_links",
+    "loan_master_parquet", "loan_master_parquet_bounded", "loan_master_text",
 ]
 
 
@@ -38,8 +41,8 @@ def join_chain_master(spark, sf_dir: str):
     per-loan minimum and a join back (a self-join), the terminal row the same way with
     the maximum, then a chain of left joins.  Same detail and rules as ``loan_master``,
     so only the plan shape differs."""
-    orig, svcg = panel(spark, sf_dir)
-    d = servicing_detail(svcg, orig, hot_rows=None)
+    orig, svcg = panel(spark, sf_dir, cluster=True)
+    d = servicing_detail(svcg, orig, bounded_loans=True)
 
     def first(cond, ind, upb):
         x = d.where(cond)
@@ -64,16 +67,49 @@ def join_chain_master(spark, sf_dir: str):
 def one_pass_master(spark, sf_dir: str):
     """``loan_master`` restricted to the columns the join-chain shape produces."""
     chain_cols = join_chain_master(spark, sf_dir).columns
-    orig, svcg = panel(spark, sf_dir)
-    return loan_master(svcg, orig).select(*chain_cols)
+    orig, svcg = panel(spark, sf_dir, cluster=True)
+    return loan_master(svcg, orig, bounded_loans=True).select(*chain_cols)
 
 
+_stored: dict[str, str] = {}
+
+
+def stored(spark, sf_dir: str) -> str:
+    """The panel as plain Parquet and as delimited text, written once before any timing."""
+    if sf_dir not in _stored:
+        base = scratch_path(spark, "bench")
+        orig, svcg = panel(spark, sf_dir, cluster=True)
+        orig.write.parquet(f"{base}/orig")
+        svcg.write.parquet(f"{base}/svcg")
+        for df, spec, name in ((orig, ORIG_SPEC, "orig"), (svcg, SVCG_SPEC, "svcg")):
+            (df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast("string").alias(c) for c, _ in spec])
+             .write.option("sep", "|").csv(f"{base}/text/{name}"))
+        _stored[sf_dir] = base
+    return _stored[sf_dir]
+
+
+def master_from_parquet(spark, sf_dir: str, bounded: bool = False):
+    base = stored(spark, sf_dir)
+    return loan_master(spark.read.parquet(f"{base}/svcg"), spark.read.parquet(f"{base}/orig"), bounded_loans=bounded)
+
+
+def master_from_text(spark, sf_dir: str):
+    base = stored(spark, sf_dir)
+    orig, svcg, _ = read_feeds(spark, f"{base}/text/orig", f"{base}/text/svcg")
+    return loan_master(svcg, orig)
+
+
+# Beside the registered queries: the master from stored files, so that the shuffle of the panel counts.
+FILES = {"loan_master_parquet": master_from_parquet,
+         "loan_master_parquet_bounded": lambda spark, sf: master_from_parquet(spark, sf, bounded=True),
+         "loan_master_text": master_from_text}
+
 COMPARE = {"loan_master_one_pass": one_pass_master, "loan_master_join_chain": join_chain_master}
 
 
 def run(spark, name: str, sf_dir: str) -> float:
     t0 = time.perf_counter()
-    (QUERIES.get(name) or COMPARE[name])(spark, sf_dir).write.format("noop").mode("overwrite").save()
+    (QUERIES.get(name) or FILES.get(name) or COMPARE[name])(spark, sf_dir).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - t0
 
 
@@ -84,6 +120,8 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="loanlife-bench",
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+    if any(n in FILES for n in names):
+        stored(spark, sf_dir)
     for n in names:  # warm-up: JIT, file listing, Python imports
         run(spark, n, sf_dir)
     times = {n: round(statistics.median(run(spark, n, sf_dir) for _ in range(repeat)), 3) for n in names}
