@@ -134,7 +134,8 @@ def servicing_detail(svcg: DataFrame, orig: DataFrame, key: str = KEY,
     """Servicing rows without copies, of loans present in ``orig``, with ``orig_upb``,
     lags, priors and derived status.
 
-    A loan with several origination balances has its rows once per balance.
+    The balance joins last: it is no input of the lags.  A loan with several
+    origination balances has its rows once per balance.
     """
     origin = dedupe_panel(orig.select(key, "orig_upb"))
-    return with_priors(svcg.join(origin, key, "inner"), key, bounded_loans)
+    return with_priors(svcg, key, bounded_loans).join(origin, key, "inner")

@@ -111,6 +111,8 @@ def lags_split(df: DataFrame, key: str, group: Column, order: Sequence[Column],
     as_long = F.unix_date(F.col("_g")) if dict(keyed.dtypes)["_g"] == "date" else F.col("_g").cast("long")
     first = F.lit(-(2 ** 63)).cast("long")
     keyed = keyed.withColumn("_g", F.when(F.col(key).isNotNull(), F.coalesce(as_long, first)).otherwise(first))
+    # Dealt by both columns: an input that is already clustered by the key would keep a whole key in one task.
+    keyed = keyed.repartition(key, "_g")
     wg = Window.partitionBy(key, "_g").orderBy(*order)
     x = keyed.select(
         "*", F.row_number().over(wg).alias("_rg"),

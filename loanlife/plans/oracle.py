@@ -116,7 +116,6 @@ detail AS (
   FROM looked)"""
 
 
-# Detail joined to orig (servicing_detail): inner join, then the window.
 JOINED = """sv AS (SELECT DISTINCT * FROM svcg),
 og AS (SELECT DISTINCT * FROM orig),
 j AS (SELECT sv.*, og.orig_upb FROM sv JOIN og ON sv.id_loan = og.id_loan)"""

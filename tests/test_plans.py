@@ -52,8 +52,10 @@ def test_loan_master_shape_on_plain_files(spark, static_plans):
     assert rows and all("_g#" in w.split("], [")[1] for w in rows)
     # the copies collapse in a partial aggregate before the first exchange of the panel
     assert p.count("SortMergeJoin") == 2          # summary back to the rows, origination with events
-    events = p[p.index("min_by(struct(period"):]
-    assert "partial_min_by(struct(period" in events
+    # events are reduced per loan-year where the windows left them: no exchange and no sort in between
+    events = p[p.index("SortAggregate(key=[id_loan"):]
+    in_place = events[events.index("_year"):events.index("SortMergeJoin")]
+    assert "partial_min(" in in_place and "Exchange" not in in_place and "Sort [" not in in_place
 
 
 def test_loan_master_shape_for_bounded_loans(spark, static_plans):
