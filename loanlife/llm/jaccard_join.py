@@ -411,12 +411,13 @@ def linked(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tup
     first = _checkpoint(_verified(_sieved(near, wide), texts), "links")
 
     roots = _checkpoint(components(first), "roots")
-    placed = (members.join(roots.hint("merge"), "node", "left")
-              .withColumn("root", F.coalesce("root", "node")))
-    across = Window.partitionBy("grp")
-    open_groups = _checkpoint(placed.withColumn("low", F.min("root").over(across))
-                              .withColumn("high", F.max("root").over(across))
-                              .where("low <> high").drop("low", "high", "degree"), "open")
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    # Grouped with partial aggregation and joined back, so that a large group is split, not windowed in one task.
+    spanning = (placed(groups).groupBy("grp").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+                .where("low <> high").select("grp"))
+    open_groups = _checkpoint(placed(members).drop("degree").join(spanning.hint("merge"), "grp", "left_semi"), "open")
     rest = (open_groups.alias("a").join(
         open_groups.alias("b").hint("merge"),
         (F.col("a.grp") == F.col("b.grp")) & (F.col("a.node") < F.col("b.node"))
