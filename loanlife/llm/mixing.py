@@ -80,9 +80,13 @@ def source_key(source_col: str):
 
 def tempered_weights(df: DataFrame, source_col: str = "source", period: int = 1000,
                      temperature: float = 1.0) -> dict[str, int]:
-    """Weights proportional to (rows of a source) ** (1 / temperature); at most ``period`` sources."""
-    counts = df.groupBy(source_key(source_col).alias("s")).count().limit(period + 1).collect()
-    return quantise({r["s"]: r["count"] ** (1 / temperature) for r in counts}, period)
+    """Weights proportional to (rows of a source) ** (1 / temperature).
+
+    They sum up to ``period``, or to the number of sources if there are more;
+    ``MAX_PERIOD`` sources are the most that can be scheduled.
+    """
+    counts = df.groupBy(source_key(source_col).alias("s")).count().limit(MAX_PERIOD + 1).collect()
+    return quantise({r["s"]: r["count"] ** (1 / temperature) for r in counts}, max(period, len(counts)))
 
 
 def interleave(df: DataFrame, weights: dict[str, int], source_col: str = "source", id_col: str = "doc_id",

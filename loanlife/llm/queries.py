@@ -1,7 +1,8 @@
 """The registered queries of this package, one per operator, over whole tables.
 
-Writing operators (the digest index, the archives) write to a fresh folder
-under ``spark.checkpoint.dir`` when their query is built.
+Operators that keep something (the digest index, the archives, the steps of the
+Jaccard join) write to fresh folders under ``spark.checkpoint.dir`` when their
+query is built; the folders can go once the result has been read.
 """
 
 from __future__ import annotations

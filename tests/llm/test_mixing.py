@@ -61,6 +61,8 @@ def test_weights(spark, no_docs):
     with pytest.raises(ValueError):
         M.schedule({"a": M.MAX_PERIOD + 1})
     assert M.tempered_weights(no_docs) == {}
+    many = spark.range(50).selectExpr("cast(id as string) as source")
+    assert M.tempered_weights(many, period=10) == {str(i): 1 for i in range(50)}
 
 
 def test_empty_table(spark, no_docs, as_tables):
