@@ -50,7 +50,7 @@ ONE_LETTER_ENDINGS = ("s", "t", "m", "d")
 TWO_LETTER_ENDINGS = ("re", "ve", "ll")
 
 CHUNK_CHARS = 1 << 20     # characters scanned at once
-CACHE_ENTRIES = 500_000   # pieces a worker remembers; the cache starts afresh beyond
+CACHE_ENTRIES = 100_000   # pieces of a generation; a worker remembers two, the older one goes
 CACHE_PIECE = 64          # longer pieces are not remembered
 
 
@@ -212,7 +212,7 @@ class Codec:
     """Ranks with a bounded cache of merged pieces; one per Python worker and vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks, self.cache = ranks, {}
+        self.ranks, self.cache, self.older = ranks, {}, {}
         size = max(ranks.values()) + 1
         pieces = [b""] * size
         for piece, rank in ranks.items():
@@ -222,10 +222,11 @@ class Codec:
         self.bytes = np.frombuffer(b"".join(pieces), dtype=np.uint8)
 
     def ids_of(self, piece: str) -> tuple[int, ...]:
-        ids = merge(piece.encode("utf-8"), self.ranks)
+        ids = self.older.get(piece) or merge(piece.encode("utf-8"), self.ranks)
         if len(piece) <= CACHE_PIECE:
             if len(self.cache) >= CACHE_ENTRIES:
-                self.cache.clear()
+                self.older = dict(self.cache)
+                self.cache.clear()           # the same object: a running encode looks pieces up in it
             self.cache[piece] = ids
         return ids
 
