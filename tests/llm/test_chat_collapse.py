@@ -49,7 +49,8 @@ def test_random_snapshots_equal_brute_force(spark):
             cut = rng.randint(1, len(turns))
             rows += [(base * 10 + k, t, r, x) for t, r, x in turns[:cut]]
     rows += rows[:9] + [(None, 0, "user", "alone"), (999, None, "user", "no turn"), (999, 0, "user", "then"), (998, 0, "a", "tie"),
-                        (998, 0, "b", "tie"), (996, 0, "a", "x"), (995, 0, "a", "x"), (995, 0, "a", "y"), (994, 0, "a", "y"), (997, 0, "user", "long " * 30000)]
+                        (998, 0, "b", "tie"), (996, 0, "a", "x"), (995, 0, "a", "x"), (995, 0, "a", "y"),
+                        (994, 0, "a", "y"), (997, 0, "user", "long " * 30000)]
     assert collapsed(spark.createDataFrame(rows, DDL)) == brute(spark, rows)
 
 

@@ -59,7 +59,9 @@ def test_boosting_learns_a_rule():
 @pytest.mark.parametrize("page,want", [
     (None, ""), ("", ""), ("just text", "just text"), ("<p>One &amp; two<br>three\n four", "One & two three four"),
     ("<p>a<script>var x='</p>';</script>b</p>", "ab"), ("<p>One<p>Two &eacute;&#33;", "One\nTwo é!"),
-    ("<article><p>Cut in a ta", "Cut in a ta"), ("<p hidden>no</p><article><p>Some words of a text.</p></article>", "Some words of a text."), ("<article><h1>T</h1><p><b>X.<br><p>Y.</article><footer>f</footer>", "T\nX.\nY.")])
+    ("<article><p>Cut in a ta", "Cut in a ta"),
+    ("<p hidden>no</p><article><p>Some words of a text.</p></article>", "Some words of a text."),
+    ("<article><h1>T</h1><p><b>X.<br><p>Y.</article><footer>f</footer>", "T\nX.\nY.")])
 def test_markup(model, page, want):
     assert model.extract([page]) == [want]
 
