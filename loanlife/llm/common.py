@@ -33,12 +33,17 @@ def free_name(columns: list[str], base: str) -> str:
     return name
 
 
+BATCH_ROWS = 1000    # texts may be long: as many rows at once bound a Python worker's memory
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Give the Python workers this package (``--py-files`` does the same at submission).
+    """Give the Python workers this package (``--py-files`` does the same at submission) and small batches.
 
     The archive is staged on the driver only; Spark hands it to the executors.
     """
-    sc = spark.sparkContext
+    sc, batch = spark.sparkContext, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(batch)) <= BATCH_ROWS:
+        spark.conf.set(batch, BATCH_ROWS)
     if getattr(sc, "_package_shipped", None) == __package__:
         return
     root = pathlib.Path(__file__).resolve().parents[1]
