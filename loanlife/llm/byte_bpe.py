@@ -208,11 +208,44 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
     return tuple(ranks[piece[i:stop[i]]] for i in range(n) if alive[i])
 
 
+class Joins:
+    """What neighbouring ids merge into; merges short pieces by scanning for the lowest rank."""
+
+    NONE, SHIFT = 1 << 60, 20
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.single = [ranks.get(bytes([b]), self.NONE) for b in range(256)]
+        self.result = {}
+        for piece, rank in ranks.items():
+            for i in range(1, len(piece)):
+                a, b = ranks.get(piece[:i]), ranks.get(piece[i:])
+                if a is not None and b is not None:
+                    self.result[a << self.SHIFT | b] = rank
+
+    def merge(self, piece: bytes) -> tuple[int, ...]:
+        """As ``merge``; the work grows with the square of the piece's length."""
+        find, none, shift = self.result.get, self.NONE, self.SHIFT
+        ids = [self.single[b] for b in piece]
+        ranks = [find(a << shift | b, none) for a, b in zip(ids, ids[1:], strict=False)]
+        while ranks:
+            low = min(ranks)
+            if low == none:
+                break
+            i = ranks.index(low)
+            ids[i] = low
+            del ids[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = find(ids[i - 1] << shift | low, none)
+            if i < len(ranks):
+                ranks[i] = find(low << shift | ids[i + 1], none)
+        return tuple(ids)
+
+
 class Codec:
     """Ranks with a bounded cache of merged pieces; one per Python worker and vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks, self.cache, self.older = ranks, {}, {}
+        self.ranks, self.joins, self.cache, self.older = ranks, Joins(ranks), {}, {}
         size = max(ranks.values()) + 1
         pieces = [b""] * size
         for piece, rank in ranks.items():
@@ -222,7 +255,14 @@ class Codec:
         self.bytes = np.frombuffer(b"".join(pieces), dtype=np.uint8)
 
     def ids_of(self, piece: str) -> tuple[int, ...]:
-        ids = self.older.get(piece) or merge(piece.encode("utf-8"), self.ranks)
+        ids = self.older.get(piece)
+        if ids is None:
+            content = piece.encode("utf-8")
+            whole = self.ranks.get(content)
+            if whole is not None:
+                ids = (whole,)
+            else:
+                ids = self.joins.merge(content) if len(content) <= CACHE_PIECE else merge(content, self.ranks)
         if len(piece) <= CACHE_PIECE:
             if len(self.cache) >= CACHE_ENTRIES:
                 self.older = dict(self.cache)

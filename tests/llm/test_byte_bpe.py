@@ -75,3 +75,10 @@ def test_clashing_columns_and_empty_table(spark, no_docs):
 def test_chunks(sizes, limit, want):
     import numpy as np
     assert list(B.chunks(np.array(sizes), limit)) == want
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(st.binary(min_size=1, max_size=40), st.text(alphabet="theonandiréß", min_size=1, max_size=30).map(str.encode)))
+def test_both_ways_of_merging_agree(piece):
+    if piece not in CODEC.ranks:
+        assert CODEC.joins.merge(piece) == B.merge(piece, CODEC.ranks)
