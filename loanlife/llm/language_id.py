@@ -54,14 +54,15 @@ def normalise(text: str | None) -> bytes:
 def training_sample(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
                     texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> DataFrame:
     """(lang, text) of up to ``texts`` distinct labelled texts a language, chosen by a hash of the text."""
-    pieces = (labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    pieces = (labelled.where(F.col(lang_col).isNotNull())
               .select(F.col(lang_col).cast("string").alias("lang"), F.substring(text_col, 1, chars).alias("text"))
-              .withColumn("pick", F.xxhash64("text")))
+              .where(F.col("text").rlike(r"\p{L}")).withColumn("pick", F.xxhash64("text")))
     # Only about three times the sample, copies once, leaves the tasks, at any size of the table.
-    counts = labelled.where(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).cast("string").alias("lang")).count()
+    # The share is one of the different texts: all copies have one hash, and pass or go together.
+    counts = pieces.groupBy("lang").agg(F.approx_count_distinct("pick").alias("n"))
     chosen = F.lit(False)
     for row in counts.collect():
-        chosen = chosen | ((F.col("lang") == row["lang"]) & low_hash(F.col("pick"), 3 * texts / row["count"]))
+        chosen = chosen | ((F.col("lang") == row["lang"]) & low_hash(F.col("pick"), 3 * texts / row["n"]))
     first = Window.partitionBy("lang").orderBy("pick")
     return (pieces.where(chosen).dropDuplicates(["lang", "pick"])
             .withColumn("n", F.row_number().over(first)).where(F.col("n") <= texts).select("lang", "text", "pick"))

@@ -45,6 +45,16 @@ def test_sample_is_bounded_and_takes_copies_once(spark):
     assert len({(r["lang"], r["text"]) for r in sample}) == len(sample)
 
 
+def test_copies_and_unusable_rows_leave_the_sample_full(spark):
+    texts = spark.range(2000).selectExpr("concat('satz nummer ', id) as text", "'de' as lang")
+    unusable = spark.range(50_000).selectExpr("if(id % 2 = 0, null, cast(id as string)) as text", "'de' as lang")
+    copies = spark.range(1_998_000).selectExpr("'immer derselbe satz' as text", "'de' as lang")
+    lowest = {r["text"] for r in L.training_sample(texts, texts=50).collect()}
+    sample = L.training_sample(texts.union(copies).union(unusable), texts=50).collect()
+    assert len(lowest) == len(sample) == 50
+    assert len(lowest - {r["text"] for r in sample}) <= 1      # the copied text may take one place
+
+
 def test_no_or_one_language_and_empty_tables(spark, no_docs, as_tables):
     assert L.Classifier({}).predict("some text") == ("und", 0.0)
     assert L.Classifier({"en": b"the words of a text"}).predict("some text") == ("en", 1.0)
