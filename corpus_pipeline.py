@@ -23,7 +23,7 @@ from loanlife.llm.common import free_name, ship_package, table
 from loanlife.session import scratch_path
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-MIX_PERIOD = 1000     # slots of a period; as many sources at most
+MIX_PERIOD = 1000     # slots of a period; more for over ten sources
 MIX_BLOCK = 1         # documents of a block
 
 
@@ -45,8 +45,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    weights = mixing.tempered_weights(docs, period=MIX_PERIOD)
-    mixed = mixing.interleave(docs, weights, block_rows=MIX_BLOCK)
+    mixed = mixing.mix(docs, period=MIX_PERIOD, block_rows=MIX_BLOCK)
     slot, place = (free_name(docs.columns, n) for n in ("slot", "place"))
     return mixed.repartitionByRange(slot, place).sortWithinPartitions(slot, place).select(*docs.columns)
 

@@ -94,8 +94,7 @@ MIX_BLOCK = 4           # documents of one block
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its slot; sorted by slot and place they are the mixture."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    weights = mixing.tempered_weights(docs, period=MIX_PERIOD, temperature=MIX_TEMPERATURE)
-    return mixing.interleave(docs, weights, block_rows=MIX_BLOCK)
+    return mixing.mix(docs, period=MIX_PERIOD, temperature=MIX_TEMPERATURE, block_rows=MIX_BLOCK)
 
 
 def op9_chat_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:

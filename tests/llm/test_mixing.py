@@ -65,5 +65,39 @@ def test_weights(spark, no_docs):
     assert M.tempered_weights(many, period=10) == {str(i): 1 for i in range(50)}
 
 
+def test_weights_follow_the_targets_for_many_sources(spark):
+    for n in (900, 1000):
+        rows = spark.range(n - 1).selectExpr("cast(id as string) as source").union(
+            spark.range((n - 1) // 2).selectExpr("'large' as source"))
+        weights = M.tempered_weights(rows)
+        share = ((n - 1) // 2) / (n - 1 + (n - 1) // 2)
+        assert abs(weights["large"] / sum(weights.values()) - share) < share / M.SLOTS_A_SOURCE + 2e-5
+
+
+def test_more_sources_than_slots(spark, monkeypatch):
+    monkeypatch.setattr(M, "MAX_PERIOD", 2000)
+    monkeypatch.setattr(M, "MOST_SOURCES", 20)
+    sizes = {f"s{i}": 1 + i % 3 for i in range(3000)} | {"large": 3000}
+    rows = spark.createDataFrame([(f"{s}-{k}", s) for s, n in sizes.items() for k in range(n)], "doc_id string, source string")
+    with pytest.raises(ValueError):
+        M.tempered_weights(rows)
+    got = sorted(M.mix(rows, period=10).collect(), key=lambda r: (r["slot"], r["place"]))
+    assert sorted(r["doc_id"] for r in got) == sorted(r["doc_id"] for r in rows.collect())
+    assert len({r["slot"] for r in got}) == len(got) and all(r["release"] <= r["slot"] < r["deadline"] for r in got)
+    total, served = len(got), Counter()
+    for at, r in enumerate(got[:total // 2], 1):
+        served[r["source"]] += 1
+        assert abs(served["large"] - at * 3000 / total) < at * 0.05 + 2
+        assert served[r["source"]] - r["slot"] * sizes[r["source"]] / total < 2 + 0.1 * sizes[r["source"]]
+    assert {s for s, n in sizes.items() if n == 3} <= set(served)
+
+
+def test_hundred_thousand_sources(spark):
+    rows = spark.range(100_001).selectExpr("id as doc_id", "cast(id as string) as source").union(
+        spark.range(50_000).selectExpr("id as doc_id", "'large' as source"))
+    told = M.mix(rows).selectExpr("source = 'large' as large", "slot").where("slot < 30000").collect()
+    assert len(told) == 30_000 and abs(sum(r["large"] for r in told) - 10_000) < 200
+
+
 def test_empty_table(spark, no_docs, as_tables):
     assert op8_mixing(spark, as_tables(documents=no_docs)).collect() == []
