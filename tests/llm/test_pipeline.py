@@ -34,3 +34,27 @@ def test_stages_take_empty_tables_and_edge_cases(spark, edge_docs, no_docs):
                 assert out.columns == docs.columns
             rows = out.collect()
             assert len(rows) <= docs.count()
+
+
+def test_result_holds_the_mixture(spark, as_tables, small_docs):
+    """Fails without the mixing stage: positions are then those of the stage before."""
+    rows = [(d, t, "en", "large" if d % 8 else f"small{d % 3}", len(t)) for d, t in small_docs]
+    packed, coalesced = "spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.enabled"
+    before = {k: spark.conf.get(k) for k in (packed, coalesced)}
+    path = as_tables(documents=spark.createDataFrame(rows, DOCS_DDL))
+    try:
+        spark.conf.set(packed, "20k")         # files of several splits, packed by size
+        spark.conf.set(coalesced, "false")    # several files
+        got = sorted(C.run(spark, path).collect(), key=lambda r: r["position"])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert [r["position"] for r in got] == list(range(len(got)))
+    kept = spark.createDataFrame([(r["doc_id"], r["source"]) for r in got], "doc_id bigint, source string")
+    mixed = C.mixing.mix(kept, period=C.MIX_PERIOD, temperature=C.MIX_TEMPERATURE, block_rows=C.MIX_BLOCK)
+    assert [r["doc_id"] for r in got] == [r["doc_id"] for r in sorted(mixed.collect(), key=lambda r: (r["slot"], r["place"]))]
+    sizes = {s: sum(r["source"] == s for r in got) for s in {r["source"] for r in got}}
+    roots = sum(n ** 0.5 for n in sizes.values())
+    early = int(min(n ** 0.5 for n in sizes.values()) * roots)        # no source has run out by then
+    for s, n in sizes.items():
+        assert abs(sum(r["source"] == s for r in got[:early]) - early * n ** 0.5 / roots) < 2
