@@ -1,7 +1,9 @@
 """Document fingerprints: a Merkle tree over blocks, paragraphs and sections.
 
 A paragraph is a line; paragraphs of more than ``BLOCK`` code points are leaves
-cut into blocks.  A section ends after a blank line or after a paragraph whose
+cut into blocks of about as many, at borders that the ``WINDOW`` code points before
+them say (``SHORTEST`` to ``LONGEST`` apart), so that an edit changes the blocks that
+it touches and seldom a few after them.  A section ends after a blank line or after a paragraph whose
 hash says so (about one in eight), so that an edit moves no section border
 elsewhere.  A node's hash covers its children's hashes; equal roots mean equal
 texts, and walking down differing branches only locates an edit.
@@ -23,9 +25,11 @@ Defined results
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +37,9 @@ from pyspark.sql import types as T
 
 from loanlife.llm.common import free_name, shuffle_partitions
 
-BLOCK = 32           # code points of a block; fingerprints take about 9/32 of the text
+BLOCK = 32           # code points of a block on average; fingerprints take about 9/32 of the text
+SHORTEST, LONGEST = 16, 96   # code points of a block, the last of a paragraph excepted
+WINDOW = 4           # code points that decide on a border; one in BLOCK - SHORTEST places is one
 SECTION_BYTE = 32    # a paragraph whose hash begins with a lower byte ends its section
 
 
@@ -41,6 +47,35 @@ def digest(content: bytes, kind: bytes) -> bytes:
     return hashlib.blake2b(content, digest_size=16, person=kind).digest()
 
 
+def borders(text: str) -> list[int]:
+    """Places of ``text`` where the code points before say that a block may end."""
+    if len(text) <= BLOCK:
+        return []
+    points = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.uint32)
+    mixed = np.zeros(len(points) - WINDOW + 1, dtype=np.uint32)
+    for i in range(WINDOW):
+        mixed = (mixed ^ points[i:i + len(mixed)]) * np.uint32(0x9E3779B1)
+        mixed ^= mixed >> np.uint32(15)
+    return (np.flatnonzero(mixed % np.uint32(BLOCK - SHORTEST) == 0) + WINDOW).tolist()
+
+
+def cut(line: str, start: int, places: list[int]) -> list[str]:
+    """Blocks of a line that begins at ``start`` of the text with these ``borders``."""
+    ends, last = [], 0
+    for at in range(bisect_left(places, start + SHORTEST), bisect_left(places, start + len(line))):
+        place = places[at] - start
+        while place - last > LONGEST:
+            last += LONGEST
+            ends.append(last)
+        if place - last >= SHORTEST:
+            last = place
+            ends.append(last)
+    while len(line) - last > LONGEST:
+        last += LONGEST
+        ends.append(last)
+    return [line[a:b] for a, b in zip([0, *ends], [*ends, len(line)], strict=True)]
+
+
 class Tree:
     """Root, and sections as lists of (paragraph hash, length, [(block hash, length)])."""
 
@@ -53,15 +88,16 @@ class Tree:
             section_hashes.append(digest(b"".join(p[0] for p in section), b"section"))
             section.clear()
 
+        places, start = borders(text), 0
         for line in text.split("\n"):
             if len(line) <= BLOCK:
                 blocks = []
                 node = digest(line.encode("utf-8"), b"block")
             else:
-                cuts = [line[i:i + BLOCK] for i in range(0, len(line), BLOCK)]
-                blocks = [(digest(c.encode("utf-8"), b"block"), len(c)) for c in cuts]
+                blocks = [(digest(c.encode("utf-8"), b"block"), len(c)) for c in cut(line, start, places)]
                 node = digest(b"".join(b for b, _ in blocks), b"paragraph")
             section.append((node, len(line) + 1, blocks))
+            start += len(line) + 1
             if not line or node[0] < SECTION_BYTE:
                 close()
         if section:

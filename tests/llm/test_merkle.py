@@ -44,6 +44,17 @@ def test_equal_roots_mean_equal_texts_and_edits_are_located():
     assert len({M.Tree(t).text() for t in distinct}) == len(distinct)
 
 
+def test_an_edit_in_a_long_line_changes_the_blocks_it_touches():
+    line = " ".join(f"{w}{i * i % 97}" for i in range(600) for w in ("Wörter", "of", "one \U0001f600 line"))
+    for at in (0, 1, 50, 3000, len(line)):
+        assert M.likeness(M.Tree(line), M.Tree(line[:at] + "!" + line[at:])) > 0.97
+        assert M.likeness(M.Tree("first\n" + line), M.Tree("other\n" + line[:at] + line[at + 1:])) > 0.97
+    for text in (line, "x" * 5000, "ab" * 2500, "x" * 33):
+        blocks = M.cut(text, 0, M.borders(text))
+        assert "".join(blocks) == text and all(M.SHORTEST <= len(b) <= M.LONGEST for b in blocks[:-1])
+        assert M.cut(text, 7, M.borders("before\n" + text)) == blocks
+
+
 def test_clashing_column_lone_document_and_empty_table(spark, no_docs, as_tables):
     df = spark.createDataFrame([(1, "one two", "f")], "doc_id bigint, text string, Fingerprint string")
     assert M.fingerprints(df).columns[-1] == "_fingerprint"
