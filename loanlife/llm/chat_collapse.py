@@ -15,8 +15,8 @@ Defined results
   of the text; rows repeated in all four columns count once; null role and text count as empty;
 * rows without a conversation id form one conversation with a null id, which
   stays only if no equal one has an id;
-* positions are counted within segments of turn numbers, so equal conversations
-  of over ``SEGMENT`` turns must share their numbering;
+* positions are counted over the whole conversation: equal ones match however they are numbered;
+* turns without a number, or with one number, are one segment, which one task orders;
 * an empty table gives an empty result; only the four named columns are read.
 """
 
@@ -54,25 +54,26 @@ def prefixes(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", r
     turns = _turns(df, conv_col, turn_col, role_col, text_col)
     hashed = turns.select("conv_id", "part", "turn", "role", "h1", "h2").distinct()
     placed = hashed.withColumn("place", F.row_number().over(_in_order()))
-    mixed = placed.select("conv_id", "part", "place",
-                          F.xxhash64(F.lit(3), "part", "place", "h1", "h2").alias("g1"),
-                          F.xxhash64(F.lit(4), "place", "part", "h2", "h1").alias("g2"))
-    running = Window.partitionBy("conv_id", "part").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    inner = mixed.select("conv_id", "part", "place", F.bit_xor("g1").over(running).alias("r1"),
-                         F.bit_xor("g2").over(running).alias("r2"))
-    parts = mixed.groupBy("conv_id", "part").agg(F.bit_xor("g1").alias("x1"), F.bit_xor("g2").alias("x2"),
-                                                F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     later = Window.partitionBy("conv_id").orderBy("part")
-    carried = parts.select("conv_id", "part", "n",
+    counts = hashed.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n")).withColumns(
+        {"c": F.coalesce(F.sum("n").over(before), F.lit(0)), "final": F.lead("part").over(later).isNull()})
+    # The hashes hold the place in the whole conversation, however its turns are numbered.
+    mixed = (placed.alias("i").join(counts.alias("p").hint("merge"), _same("i", "p", "conv_id", "part"))
+             .select("i.*", (F.col("c") + F.col("place")).alias("depth"),
+                     (F.col("final") & (F.col("place") == F.col("n"))).alias("last"))
+             .select("conv_id", "part", "depth", "last", F.xxhash64(F.lit(3), "depth", "h1", "h2").alias("g1"),
+                     F.xxhash64(F.lit(4), "depth", "h2", "h1").alias("g2")))
+    running = Window.partitionBy("conv_id", "part").orderBy("depth").rowsBetween(Window.unboundedPreceding, 0)
+    inner = mixed.select("conv_id", "part", "depth", "last", F.bit_xor("g1").over(running).alias("r1"),
+                         F.bit_xor("g2").over(running).alias("r2"))
+    parts = mixed.groupBy("conv_id", "part").agg(F.bit_xor("g1").alias("x1"), F.bit_xor("g2").alias("x2"))
+    carried = parts.select("conv_id", "part",
                            *[F.coalesce(F.bit_xor(x).over(before), F.lit(0)).alias(c) for x, c in
-                             (("x1", "c1"), ("x2", "c2"))],
-                           F.coalesce(F.sum("n").over(before), F.lit(0)).alias("c"),
-                           F.lead("part").over(later).isNull().alias("final"))
+                             (("x1", "c1"), ("x2", "c2"))])
     return (inner.alias("i").join(carried.alias("p").hint("merge"), _same("i", "p", "conv_id", "part"))
-            .select("i.conv_id", (F.col("c") + F.col("place")).alias("depth"),
-                    F.col("r1").bitwiseXOR(F.col("c1")).alias("p1"), F.col("r2").bitwiseXOR(F.col("c2")).alias("p2"),
-                    (F.col("final") & (F.col("place") == F.col("n"))).alias("last")))
+            .select("i.conv_id", "depth", F.col("r1").bitwiseXOR(F.col("c1")).alias("p1"),
+                    F.col("r2").bitwiseXOR(F.col("c2")).alias("p2"), "last"))
 
 
 def maximal(df: DataFrame, **columns: str) -> DataFrame:

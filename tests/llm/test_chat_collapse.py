@@ -62,6 +62,14 @@ def test_long_conversations_cross_segments(spark):
     assert collapsed(spark.createDataFrame(rows, DDL)) == brute(spark, rows)
 
 
+def test_equal_conversations_numbered_differently(spark):
+    said = [("user", "a"), ("assistant", "b"), ("user", "c"), ("assistant", "d"), ("user", "e")]
+    rows = [(conv, first + step * i, r, x) for conv, first, step, n in
+            ((1, 0, 1, 5), (2, 300, 1, 5), (3, 254, 1, 5), (4, 250, 100, 4), (5, -2, 1, 3)) for i, (r, x) in enumerate(said[:n])]
+    df = spark.createDataFrame(rows, DDL)
+    assert collapsed(df) == brute(spark, rows) and [r["copies"] for r in C.maximal(df).collect()] == [3]
+
+
 def test_empty_table_and_extra_columns(spark, as_tables):
     empty = spark.createDataFrame([], DDL + ", part string")
     assert op9_chat_collapse(spark, as_tables(conversations=empty)).collect() == []
