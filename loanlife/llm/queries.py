@@ -11,7 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlife.llm import byte_bpe, chat_collapse, exact_dedup, html_gbt, jaccard_join, language_id, merkle, mixing, pii_crf, warc
+from loanlife.llm import (byte_bpe, chat_collapse, exact_dedup, html_gbt, jaccard_join, language_id, manifest, merkle,
+                          mixing, pii_crf, warc)
 from loanlife.llm.common import ship_package, table
 from loanlife.session import scratch_path
 
@@ -108,6 +109,18 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest is written when the query is built; every row is then proved against it, those
+    with an even checksum of their id by the leaf of their text without line breaks."""
+    ship_package(spark)
+    docs = table(spark, sf_dir, "documents").select(*manifest.FIELDS)
+    told = [F.col(f) for f in manifest.FIELDS]
+    broken = (F.crc32(F.col("doc_id").cast("string")) % 2 == 0) & F.contains("text", F.lit("\n"))
+    without = [F.replace(f, F.lit("\n"), F.lit("")) if name == "text" else f for name, f in zip(manifest.FIELDS, told)]
+    claim = F.when(broken, manifest.leaf(without)).otherwise(manifest.leaf(told))
+    return manifest.Manifest(docs, scratch_path(spark, "manifest"), claim=claim).audit()
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -119,6 +132,7 @@ QUERIES = {
     "op8_mixing": op8_mixing,
     "op9_chat_collapse": op9_chat_collapse,
     "op10_html": op10_html,
+    "op11_manifest": op11_manifest,
 }
 
 ORACLE = {
@@ -199,4 +213,56 @@ ORACLE = {
         SELECT conv_id, 0::BIGINT AS part, 0::BIGINT AS piece, depth, copies, depth AS n_turns, rendered
         FROM once WHERE rendered NOT IN (SELECT so_far FROM inner_prefix)
     """,
+    # Trees as lists of nodes per level, proofs as lists of steps; the checksum bit by bit.
+    "op11_manifest": """
+        WITH RECURSIVE d AS (
+            SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+                   || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+                   || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+                   replace(text, chr(10), '') AS cut,
+                   list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+                       lambda x, y: list_reduce([xor(x, y), 0, 0, 0, 0, 0, 0, 0, 0],
+                           lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END)) % 2 = 1 AS even_checksum
+            FROM documents),
+        h AS (
+            SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+                   sha256(head || coalesce(CASE WHEN even_checksum THEN strlen(cut) || ':' || cut
+                                                ELSE strlen(text) || ':' || text END, '-')) AS claim
+            FROM d),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM h),
+        t AS (
+            SELECT source, 0 AS level, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY source
+            UNION ALL
+            SELECT source, level + 1, list_transform(range(0, (len(nodes) + 2) // 3),
+                       lambda i: sha256(array_to_string(nodes[3 * i + 1:3 * i + 3], ''))) FROM t WHERE len(nodes) > 1),
+        s AS (
+            SELECT source, level AS height, nodes[1] AS subroot,
+                   row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place FROM t WHERE len(nodes) = 1),
+        u AS (
+            SELECT 0 AS level, list(subroot ORDER BY place) AS nodes FROM s
+            UNION ALL
+            SELECT level + 1, list_transform(range(0, (len(nodes) + 2) // 3),
+                       lambda i: sha256(array_to_string(nodes[3 * i + 1:3 * i + 3], ''))) FROM u WHERE len(nodes) > 1),
+        steps AS (
+            SELECT p.source, p.place, t.level AS step, t.nodes, p.place // (3 ** t.level)::BIGINT AS q
+            FROM placed p JOIN t ON t.source IS NOT DISTINCT FROM p.source WHERE len(t.nodes) > 1
+            UNION ALL
+            SELECT p.source, p.place, s.height + u.level, u.nodes, s.place // (3 ** u.level)::BIGINT
+            FROM placed p JOIN s ON s.source IS NOT DISTINCT FROM p.source, u WHERE len(u.nodes) > 1),
+        sides AS (
+            SELECT source, place, list(struct_pack(l := array_to_string(nodes[q - q % 3 + 1:q], ''),
+                                                   r := array_to_string(nodes[q + 2:q - q % 3 + 3], '')) ORDER BY step) AS path
+            FROM steps GROUP BY source, place),
+        whole AS (
+            SELECT p.*, subroot, coalesce(path, []) AS path, (SELECT nodes[1] FROM u WHERE len(nodes) = 1) AS root
+            FROM placed p JOIN s ON s.source IS NOT DISTINCT FROM p.source
+            LEFT JOIN sides x ON x.source IS NOT DISTINCT FROM p.source AND x.place = p.place),
+        folded AS (
+            SELECT *, sha256(array_to_string(list_transform(path, lambda x: x.l || x.r), '')) AS proof_sha256,
+                   list_reduce([struct_pack(l := claim, r := '')] || path,
+                               lambda x, y: struct_pack(l := sha256(y.l || x.l || y.r), r := '')).l AS folded_root
+            FROM whole)
+        SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded
+    """,
 }
