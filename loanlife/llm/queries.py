@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlife.llm import (byte_bpe, chat_collapse, exact_dedup, html_gbt, jaccard_join, language_id, manifest, merkle,
-                          mixing, pii_crf, warc)
+                          mixing, pii_crf, secret_ledger, warc, whitening)
 from loanlife.llm.common import ship_package, table
 from loanlife.session import scratch_path
 
@@ -121,6 +121,29 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.Manifest(docs, scratch_path(spark, "manifest"), claim=claim).audit()
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transform is fitted when the query is built."""
+    ship_package(spark)
+    rows = whitening.lattice(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return whitening.fit(rows, scratch_path(spark, "fit-list")).transform(rows)
+
+
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents are scanned into a fresh ledger when the query is built."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger = secret_ledger.BlobLedger(spark, scratch_path(spark, "blob-ledger"))
+    ledger.scan(docs, batch="documents")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    base = F.filter("spans", lambda s: s["kind"].isin(*secret_ledger.BASE))
+    return ledger.findings(docs).select("doc_id", *[count(kind) for kind in secret_ledger.BASE],
+                                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -133,6 +156,8 @@ QUERIES = {
     "op9_chat_collapse": op9_chat_collapse,
     "op10_html": op10_html,
     "op11_manifest": op11_manifest,
+    "op12_whitening": op12_whitening,
+    "op13_secrets": op13_secrets,
 }
 
 ORACLE = {
@@ -265,4 +290,30 @@ ORACLE = {
             FROM whole)
         SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded
     """,
+    # The open patterns, the short matches dropped afterwards; offsets by the pieces between matches.
+    "op13_secrets": """
+        WITH rules(no, kind, pattern, least) AS (VALUES
+            (1, 'assign', '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)', 6),
+            (2, 'access', '(AKIA[A-Z0-9]+)', 20), (3, 'hex', '([0-9a-f]+)', 24),
+            (4, 'pem', '(-----BEGIN [A-Z0-9 ]*PRIVATE KEY-----)', 0),
+            (5, 'bearer', '([Bb][Ee][Aa][Rr][Ee][Rr] [A-Za-z0-9._~+/-]{20,}=*)', 0)),
+        cut AS (
+            SELECT doc_id, no, kind, least, regexp_extract_all(text, pattern, 0) AS m, regexp_extract_all(text, pattern, 1) AS g,
+                   string_split_regex(text, pattern) AS p
+            FROM documents, rules WHERE text IS NOT NULL),
+        one AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM cut),
+        found AS (
+            SELECT doc_id, no, kind, sum(length(p[i]) + length(m[i])) OVER (PARTITION BY doc_id, no ORDER BY i) AS stop,
+                   length(m[i]) AS n, length(g[i]) >= least AS good
+            FROM one),
+        told AS (
+            SELECT doc_id, count(*) FILTER (no = 1) AS n_assign, count(*) FILTER (no = 2) AS n_access,
+                   count(*) FILTER (no = 3) AS n_hex,
+                   string_agg(kind || ':' || (stop - n) || ':' || stop, ',' ORDER BY stop - n, no) FILTER (no <= 3) AS base,
+                   string_agg(kind || ':' || (stop - n) || ':' || stop, ',' ORDER BY stop - n, no) AS spans
+            FROM found WHERE good GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM documents LEFT JOIN told USING (doc_id)
+    """,
 }
