@@ -301,10 +301,12 @@ ORACLE = {
             SELECT doc_id, no, kind, least, regexp_extract_all(text, pattern, 0) AS m, regexp_extract_all(text, pattern, 1) AS g,
                    string_split_regex(text, pattern) AS p
             FROM documents, rules WHERE text IS NOT NULL),
-        one AS (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM cut),
+        one AS (
+            SELECT doc_id, no, kind, least, unnest(m) AS m, unnest(g) AS g, unnest(p[:len(m)]) AS p, unnest(range(len(m))) AS i
+            FROM cut WHERE len(m) > 0),
         found AS (
-            SELECT doc_id, no, kind, sum(length(p[i]) + length(m[i])) OVER (PARTITION BY doc_id, no ORDER BY i) AS stop,
-                   length(m[i]) AS n, length(g[i]) >= least AS good
+            SELECT doc_id, no, kind, sum(length(p) + length(m)) OVER (PARTITION BY doc_id, no ORDER BY i) AS stop,
+                   length(m) AS n, length(g) >= least AS good
             FROM one),
         told AS (
             SELECT doc_id, count(*) FILTER (no = 1) AS n_assign, count(*) FILTER (no = 2) AS n_access,
