@@ -3,9 +3,8 @@
 Each event is ``min_by(payload, rn)`` restricted to the rows that satisfy its
 condition (rows failing it get a NULL ordering value, which ``min_by`` skips);
 the terminal record is ``max_by(payload, rn)``.  All of them run in one
-``groupBy(id_loan)``.  Where the detail comes out of its windows partitioned and
-sorted by (loan, year), ``loan_events_by_group`` first reduces every loan-year
-in place, without an exchange or a sort, so that only a row per loan-year is shuffled.
+``groupBy(id_loan)``.  ``segments`` gives the same events from the panel without
+a detail row ever being joined or moved again: one row per loan-year is.
 """
 
 from __future__ import annotations
@@ -75,22 +74,3 @@ def loan_events(detail: DataFrame, key: str = "id_loan", only: list[str] | None
     aggs = event_columns()
     names = only or list(aggs)
     return detail.groupBy(key).agg(*[aggs[n].alias(n) for n in names])
-
-
-def loan_events_by_group(detail: DataFrame, group: str, key: str = "id_loan") -> DataFrame:
-    """``loan_events`` of a detail that is partitioned by (key, ``group``): reduced per group, then per key.
-
-    The row order is the first field of each event's struct, so that the
-    least (greatest) struct is that of the first (last) row, on both levels.
-    """
-    cases = [(name, bucket_condition(b), EVENT_PAYLOAD) for b, name in BUCKETS]
-    cases += [("pd_d180", d180_condition(), EVENT_PAYLOAD), ("first_mod", mod_condition(), EVENT_PAYLOAD)]
-    ranked = [F.min(F.when(cond, F.struct("rn", *payload))).alias(name) for name, cond, payload in cases]
-    ranked.append(F.max(F.struct("rn", *TERMINAL_PAYLOAD)).alias("terminal"))
-    per_group = detail.groupBy(key, group).agg(*ranked)
-    per_key = per_group.groupBy(key).agg(*[F.min(name).alias(name) for name, _, _ in cases],
-                                         F.max("terminal").alias("terminal"))
-    payloads = {name: payload for name, _, payload in cases} | {"terminal": TERMINAL_PAYLOAD}
-    return per_key.select(key, *[
-        F.when(F.col(name).isNotNull(), F.struct(*[F.col(name)[c].alias(c) for c in payload])).alias(name)
-        for name, payload in payloads.items()])

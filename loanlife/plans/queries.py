@@ -11,13 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlife.functions.exprs import waterfall
-from loanlife.operators import outcomes
-from loanlife.operators.detail import servicing_detail
-from loanlife.operators.events import (BUCKETS, EVENT_PAYLOAD, bucket_condition, d180_condition,
-                                       first_where, loan_events, mod_condition)
+from loanlife.operators import outcomes, segments
+from loanlife.operators.detail import servicing_detail, year_group
+from loanlife.operators.events import BUCKETS
 from loanlife.operators.master import loan_master
 from loanlife.plans import oracle
+from loanlife.plans.master_store import MasterStore
+from loanlife.session import scratch_path
 from loanlife.sources.panel import panel
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,28 +52,24 @@ def q_delq_state(spark, sf):
                                      "period_diff", "delq_sts_new")
 
 
-def _first_event(cond, ind: str, upb: str) -> Query:
+def _first_event(name: str, ind: str, upb: str) -> Query:
     def q(spark, sf):
-        ev = (_detail(spark, sf).groupBy("id_loan")
-              .agg(first_where(cond(), EVENT_PAYLOAD + ["orig_upb"]).alias("e")))
-        return ev.where(F.col("e").isNotNull()).select(
-            "id_loan", F.lit(1).alias(ind),
-            waterfall("e.act_endg_upb", "e.prior_upb", "e.orig_upb").alias(upb))
+        orig, svcg = panel(spark, sf, cluster=True)
+        events = segments.loan_events(svcg, year_group(), events=[name], terminal=False)
+        return segments.first_event(events, orig, name, ind, upb)
     return q
 
 
-for _b, _name, _key in zip([b for b, _ in BUCKETS], [n for _, n in BUCKETS],
-                           ["dlq_30", "dlq_60", "dlq_90", "dlq_120", "dlq_180"]):
-    register(_key, oracle.bucket_sql(_b))(
-        _first_event(lambda b=_b: bucket_condition(b), f"{_name}_ind", f"{_name}_upb"))
+for (_b, _name), _key in zip(BUCKETS, ["dlq_30", "dlq_60", "dlq_90", "dlq_120", "dlq_180"]):
+    register(_key, oracle.bucket_sql(_b))(_first_event(_name, f"{_name}_ind", f"{_name}_upb"))
 
-register("pd_d180", oracle.pd_d180_sql())(_first_event(d180_condition, "pd_d180_ind", "pd_d180_upb"))
-register("first_mod", oracle.first_mod_sql())(_first_event(mod_condition, "mod_ind", "mod_upb"))
+register("pd_d180", oracle.pd_d180_sql())(_first_event("pd_d180", "pd_d180_ind", "pd_d180_upb"))
+register("first_mod", oracle.first_mod_sql())(_first_event("first_mod", "mod_ind", "mod_upb"))
 
 
 def _events(spark, sf):
     orig, svcg = panel(spark, sf, cluster=True)
-    return loan_events(servicing_detail(svcg, orig), only=["terminal"]), orig
+    return segments.loan_events(svcg, year_group(), events=[]), orig
 
 
 @register("terminal_record", oracle.terminal_sql())
@@ -106,4 +102,14 @@ def q_loan_master(spark, sf):
     return loan_master(svcg, orig)
 
 
+@register("loan_master_batches", oracle.master_sql())
+def q_loan_master_batches(spark, sf):
+    """The panel in three batches, the oldest periods last, merged into a stored state as they come."""
+    orig, svcg = panel(spark, sf, cluster=True)
+    store = MasterStore(spark, scratch_path(spark, "master-store"))
+    for name, first, last in (("middle", 199501, 199612), ("later", 199701, 999912), ("earlier", 0, 199412)):
+        store.load(svcg.where(F.col("period").between(first, last)), name)
+    return store.master(orig)
+
+
 from loanlife.plans import generic_queries as _generic  # noqa: E402,F401  (registers the rest)
