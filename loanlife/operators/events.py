@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanlife.functions.exprs import as_number
+from loanlife.functions.exprs import as_number, nonzero
 
 # Delinquency buckets (derived status text) and their output names.
 BUCKETS = [("1", "dlq_ever30"), ("2", "dlq_ever60"), ("3", "dlq_everd90"),
@@ -22,7 +22,11 @@ BUCKETS = [("1", "dlq_ever30"), ("2", "dlq_ever60"), ("3", "dlq_everd90"),
 PREPAY_CODES = ["01", "06"]
 DEFAULT_CODES = ["03", "09"]
 
-EVENT_PAYLOAD = ["period", "act_endg_upb", "prior_upb"]
+
+def event_payload() -> list[Column]:
+    """Period and balance at an event: ending, else prior balance; NULL leaves it to the origination balance."""
+    return [F.col("period"), F.coalesce(nonzero("act_endg_upb"), nonzero("prior_upb")).alias("upb")]
+
 
 TERMINAL_PAYLOAD = [
     "period", "act_endg_upb", "delq_sts", "repch_flag", "flag_mod", "cd_zero_bal",
@@ -51,7 +55,7 @@ def mod_condition() -> Column:
     return F.col("flag_mod") == "Y"
 
 
-def first_where(cond: Column, payload: list[str], order: str = "rn") -> Column:
+def first_where(cond: Column, payload: list, order: str = "rn") -> Column:
     """Payload struct of the lowest-ordered row meeting ``cond`` (NULL if none)."""
     return F.min_by(F.struct(*payload), F.when(cond, F.col(order)))
 
@@ -62,9 +66,9 @@ def last_row(payload: list[str], order: str = "rn") -> Column:
 
 def event_columns() -> dict[str, Column]:
     """Name → aggregate for every lifecycle event."""
-    aggs = {name: first_where(bucket_condition(b), EVENT_PAYLOAD) for b, name in BUCKETS}
-    aggs["pd_d180"] = first_where(d180_condition(), EVENT_PAYLOAD)
-    aggs["first_mod"] = first_where(mod_condition(), EVENT_PAYLOAD)
+    aggs = {name: first_where(bucket_condition(b), event_payload()) for b, name in BUCKETS}
+    aggs["pd_d180"] = first_where(d180_condition(), event_payload())
+    aggs["first_mod"] = first_where(mod_condition(), event_payload())
     aggs["terminal"] = last_row(TERMINAL_PAYLOAD)
     return aggs
 

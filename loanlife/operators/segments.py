@@ -4,10 +4,16 @@ A *segment* is one row for a loan's rows of one group (a year, a quarter; any in
 that never decreases along the loan's order).  It holds what the lifecycle events need
 and nothing that depends on rows outside the segment:
 
-    n                     rows
-    head                  the first row, whose previous row lies in the segment before
-    <event>               balances at the first row after the head that meets the event's condition
-    last, second, third   the last row, what lags take of the one before it, the status before that
+    n                          rows
+    head_period, head_upb, head_met
+                               the first row, whose previous row lies in the segment before: a bit for
+                               each event that it meets whatever that row is, and one for status 'R'
+    <event>_at, <event>_upb    the first row after the head that meets the event's condition: its order
+                               and period packed into one long, and the balance
+    last_period, last_sts, last_upb
+                               what the next head needs of the last row
+    last, second, third_sts    for the terminal record: the last row, what lags take of the one before it,
+                               the status before that
 
 Segments of a loan that follow one another merge into one of the same form
 (``fold``): the head of each is judged against the last row of the one before.
@@ -16,7 +22,9 @@ to loans), a stored state and the quarter that comes next, and the repair of a
 loan whose rows arrive out of order.  ``finish`` turns the segment of a whole loan into
 its events.
 
-Rows move once, dealt by (loan, group); after that only segments do.
+Rows move once, dealt by (loan, group); after that only segments do.  All but the
+terminal record are fixed-width values (status and events as small integers), so
+that events alone are found by hash aggregation.
 """
 
 from __future__ import annotations
@@ -26,35 +34,48 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanlife.functions.exprs import month_diff, waterfall
-from loanlife.operators.detail import dedupe_panel, delq_state, order_columns
-from loanlife.operators.events import (BUCKETS, EVENT_PAYLOAD, TERMINAL_PAYLOAD, bucket_condition, d180_condition,
-                                       mod_condition)
+from loanlife.functions.exprs import month_diff, nonzero
+from loanlife.operators.detail import R_TRANSITIONS, dedupe_panel, delq_state, order_columns
+from loanlife.operators.events import BUCKETS, TERMINAL_PAYLOAD, bucket_condition, d180_condition, mod_condition
 
 SEG = "seg"
 
-# What an event's condition and payload read of its own row, and of the row before it.
-HEAD = ["period", "act_endg_upb", "delq_sts", "cd_zero_bal", "flag_mod"]
-BEFORE = ["period", "delq_sts", "act_endg_upb"]
+EVENTS = tuple(name for _, name in BUCKETS) + ("pd_d180", "first_mod")
+IS_R = 1 << len(EVENTS)      # bit of ``head_met``
+NO_PERIOD = -(1 << 31)
 
 # What the terminal record reads of the last row, and of the row before it.
 LAST = [c for c in TERMINAL_PAYLOAD if not c.startswith("prior_")] + ["amt_non_int_brng_upb"]
 LAGGED = ["period", "delq_sts", "act_endg_upb", "new_int_rt", "amt_non_int_brng_upb"]
 
 
-EVENTS = tuple(name for _, name in BUCKETS) + ("pd_d180", "first_mod")
-
-
 def conditions() -> dict[str, Column]:
     """Event → condition on a row with its own columns, ``prior_*`` and ``delq_sts_new``."""
     out = {name: bucket_condition(b) for b, name in BUCKETS}
     return out | {"pd_d180": d180_condition(), "first_mod": mod_condition()}
 
 
-def _judged(rows: DataFrame) -> DataFrame:
-    """period_diff and delq_sts_new from the row's own columns and its ``prior_*``."""
-    return (rows.withColumn("period_diff", month_diff("prior_period", "period"))
-            .withColumn("delq_sts_new", delq_state()))
+def _at(order: Column, period: Column) -> Column:
+    """Order and period in one long that sorts by order."""
+    low = F.coalesce(period, F.lit(NO_PERIOD)).cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
+    return F.shiftleft(order.cast("long"), 32).bitwiseOR(low)
+
+
+def _period_of(at: Column) -> Column:
+    period = F.shiftright(F.shiftleft(at, 32), 32).cast("int")
+    return F.when(period != NO_PERIOD, period)
+
+
+def _bit(mask: str, name: str) -> Column:
+    return F.col(mask).bitwiseAND(F.lit(1 << EVENTS.index(name))) != 0
+
+
+def _state_code(sts: Column) -> Column:
+    """Statuses that an 'R' row looks back at, as their number; 0 for all others."""
+    rule = F.lit(0)
+    for before, _ in R_TRANSITIONS:
+        rule = F.when(sts == before, F.lit(int(before))).otherwise(rule)
+    return rule
 
 
 def deal(svcg: DataFrame, group: Column, key: str = "id_loan", distinct: bool = True) -> DataFrame:
@@ -71,88 +92,104 @@ def deal(svcg: DataFrame, group: Column, key: str = "id_loan", distinct: bool =
 def segments(dealt: DataFrame, key: str = "id_loan", events: Iterable[str] = EVENTS, terminal: bool = True) -> DataFrame:
     """One row per (loan, ``seg``) of rows that are partitioned by them, made where the rows are.
 
-    ``events`` and ``terminal`` choose what is kept; ``last`` always has what the next head needs.
+    ``events`` and ``terminal`` choose what is kept.
     """
     names, own = list(events), [c for c in dealt.columns if c != SEG]
     w = Window.partitionBy(key, SEG).orderBy(*[F.col(c).asc_nulls_first() for c in order_columns(dealt.select(own), key)])
-    lagged = LAGGED if terminal else BEFORE
+    lagged = LAGGED if terminal else LAGGED[:3]
     looked = dealt.select(
-        "*", F.row_number().over(w).alias("rn"),
+        "*", F.row_number().over(w).alias("rn"), F.lead(F.lit(1)).over(w).isNull().alias("_is_last"),
         *[F.lag(c, 1).over(w).alias(f"_l1_{c}") for c in lagged],
         *([F.lag("delq_sts", 2).over(w).alias("_l2_sts")] if terminal else []))
-    # A head is left to fold: its previous row is not here.
-    rows = _judged(looked.withColumnsRenamed({"_l1_delq_sts": "prior_delq_sts", "_l1_period": "prior_period"})
-                   .withColumn("prior_upb", F.col("_l1_act_endg_upb")))
-    second = {"delq_sts": "prior_delq_sts", "period": "prior_period"}
-    inner, found = F.col("rn") > 1, conditions()
-    last = [F.col(c).alias(c) for c in (LAST if terminal else BEFORE)]
-    told = F.struct("rn", *last, *([F.struct(*[F.col(second.get(c, f"_l1_{c}")).alias(c) for c in lagged]).alias("second"),
-                                    F.col("_l2_sts").alias("third_sts")] if terminal else []))
-    made = rows.groupBy(key, SEG).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max(F.when(F.col("rn") == 1, F.struct(*HEAD))).alias("head"),
-        *[F.min(F.when(inner & found[name], F.struct("rn", *EVENT_PAYLOAD))).alias(name) for name in names],
-        F.max(told).alias("_end"))
-    return made.select(key, SEG, "n", "head",
-                       *[_payload(F.col(name), F.col(name)).alias(name) for name in names],
-                       F.struct(*[F.col("_end")[c].alias(c) for c in (LAST if terminal else BEFORE)]).alias("last"),
-                       *([F.when(F.col("n") >= 2, F.col("_end.second")).alias("second"),
-                          F.when(F.col("n") >= 3, F.col("_end.third_sts")).alias("third_sts")] if terminal else []))
-
-
-def _payload(there: Column, values: Column) -> Column:
-    return F.when(there.isNotNull(), F.struct(*[values[c].alias(c) for c in EVENT_PAYLOAD]))
+    # What conditions read: a head's previous row is not here, so that it meets what needs none.
+    rows = (looked.withColumns({"prior_delq_sts": F.col("_l1_delq_sts"), "prior_period": F.col("_l1_period")})
+            .withColumn("period_diff", month_diff("prior_period", "period")).withColumn("delq_sts_new", delq_state()))
+    found = conditions()
+    met = F.when(F.col("delq_sts") == "R", F.lit(IS_R)).otherwise(0)
+    for name in names:
+        met = met + F.when(found[name], F.lit(1 << EVENTS.index(name))).otherwise(0)
+    upb = F.coalesce(nonzero("act_endg_upb"), nonzero("_l1_act_endg_upb"))
+    rows = rows.withColumns({"_met": met, "_upb": upb, "_order": _at(F.col("rn"), F.col("period"))})
+    is_head, is_last = F.col("rn") == 1, F.col("_is_last")
+    aggs = [F.count(F.lit(1)).alias("n"), F.max(F.when(is_head, F.col("period"))).alias("head_period"),
+            F.max(F.when(is_head, F.col("act_endg_upb"))).alias("head_upb"), F.max(F.when(is_head, F.col("_met"))).alias("head_met"),
+            F.max(F.when(is_last, F.col("period"))).alias("last_period"),
+            F.max(F.when(is_last, _state_code(F.col("delq_sts")))).alias("last_sts"),
+            F.max(F.when(is_last, F.col("act_endg_upb"))).alias("last_upb")]
+    for name in names:
+        at = F.when(~is_head & _bit("_met", name), F.col("_order"))
+        aggs += [F.min(at).alias(f"{name}_at"), F.min_by("_upb", at).alias(f"{name}_upb")]
+    if terminal:
+        second = F.struct(*[F.col(f"_l1_{c}").alias(c) for c in LAGGED])
+        told = F.struct(F.struct(*LAST).alias("last"), F.when(F.col("rn") >= 2, second).alias("second"),
+                        F.col("_l2_sts").alias("third_sts"))
+        aggs.append(F.max(F.when(is_last, told)).alias("_end"))
+    made = rows.groupBy(key, SEG).agg(*aggs)
+    return made.select("*", "_end.*").drop("_end") if terminal else made
 
 
 def _names(segs: DataFrame) -> list[str]:
-    return [c for c in segs.columns if c in EVENTS]
-
-
-def _with_heads(segs: DataFrame, before: Column | None) -> DataFrame:
-    """``_head_<event>``: the event's payload where the head meets its condition, given the row
-    ``before`` it (None: there is no such row)."""
-    if before is None:
-        upb = segs.schema["head"].dataType["act_endg_upb"].dataType.simpleString()
-        prior = [F.lit("00"), F.lit(None).cast("int"), F.lit(0).cast(upb)]
-    else:
-        prior = [before["delq_sts"], before["period"], before["act_endg_upb"]]
-    rows = _judged(segs.select(F.struct("*").alias("_kept"), "head.*",
-                               *[v.alias(n) for v, n in zip(prior, ("prior_delq_sts", "prior_period", "prior_upb"))]))
-    found = conditions()
-    return rows.select("_kept.*", *[F.when(found[n], F.struct(*EVENT_PAYLOAD)).alias(f"_head_{n}") for n in _names(segs)])
+    return [name for name in EVENTS if f"{name}_at" in segs.columns]
+
+
+def _head_meets(name: str, before_period: Column | None, before_sts: Column | None) -> Column:
+    """Whether a segment's head meets an event, given the row before it (None: there is none)."""
+    flag = _bit("head_met", name)
+    into = {after: before for before, after in R_TRANSITIONS}
+    bucket = next((b for b, n in BUCKETS if n == name), None)
+    if before_sts is None or bucket not in into:
+        return flag
+    is_r = F.col("head_met").bitwiseAND(F.lit(IS_R)) != 0
+    turned = is_r & (month_diff(before_period, F.col("head_period")) == 1) & (before_sts == int(into[bucket]))
+    return flag | F.coalesce(turned, F.lit(False))
 
 
 def fold(segs: DataFrame, key: str = "id_loan") -> DataFrame:
     """Each loan's segments, of different ``seg``, merged into one; its ``seg`` is that of the last."""
     names, terminal, columns = _names(segs), "second" in segs.columns, segs.columns
     w = Window.partitionBy(key).orderBy(SEG)
-    told = segs.withColumn("_told", F.struct("last", "n", *(["second"] if terminal else [])))
-    looked = told.select("*", F.row_number().over(w).alias("_no"), F.lag("_told", 1).over(w).alias("_one"),
-                         *([F.lag("last", 2).over(w).alias("_two")] if terminal else []))
-    rows = _with_heads(looked, F.col("_one.last"))
-    end = [F.col("last")]
-    if terminal:
-        one_before = F.struct(*[F.col("_one.last")[c].alias(c) for c in LAGGED])
-        end += [F.when(F.col("n") >= 2, F.col("second")).when(F.col("_no") > 1, one_before).alias("second"),
-                F.when(F.col("n") >= 3, F.col("third_sts")).when(F.col("n") == 2, F.col("_one.last.delq_sts"))
-                .when(F.col("_one.n") >= 2, F.col("_one.second.delq_sts")).otherwise(F.col("_two.delq_sts")).alias("third_sts")]
+    looked = segs.select(
+        "*", F.row_number().over(w).alias("_no"), F.lead(F.lit(1)).over(w).isNull().alias("_is_last"),
+        *[F.lag(c, 1).over(w).alias(f"_l1_{c}") for c in ("last_period", "last_sts", "last_upb")],
+        # Few nested fields: beyond 100 of them Spark leaves code generation.
+        *([F.lag(F.struct(*[F.col("last")[c].alias(c) for c in LAGGED], "n", F.col("second.delq_sts").alias("second_sts")), 1)
+           .over(w).alias("_one"), F.lag("last.delq_sts", 2).over(w).alias("_two_sts")] if terminal else []))
     # The head of the first segment is judged later, when what comes before it is known.
-    event = {n: F.when((F.col("_no") > 1) & F.col(f"_head_{n}").isNotNull(), F.col(f"_head_{n}")).otherwise(F.col(n)) for n in names}
-    made = rows.groupBy(key).agg(
-        F.max(SEG).alias(SEG), F.sum("n").alias("n"), F.max(F.when(F.col("_no") == 1, F.col("head"))).alias("head"),
-        *[F.min(F.when(event[n].isNotNull(), F.struct("_no", event[n].alias("e")))).alias(n) for n in names],
-        F.max(F.struct("_no", *end)).alias("_end"))
-    out = {n: F.col(n)["e"] for n in names} | {c: F.col("_end")[c] for c in ("last", "second", "third_sts")}
-    return made.select(*[out.get(c, F.col(c)).alias(c) for c in columns])
+    is_first, is_last = F.col("_no") == 1, F.col("_is_last")
+    by_head = F.lit(0)
+    for name in names:
+        meets = ~is_first & _head_meets(name, F.col("_l1_last_period"), F.col("_l1_last_sts"))
+        by_head = by_head + F.when(meets, F.lit(1 << EVENTS.index(name))).otherwise(0)
+    looked = looked.withColumns({"_by_head": by_head, "_head_upb": F.coalesce(nonzero("head_upb"), nonzero("_l1_last_upb"))})
+    aggs = [F.max(SEG).alias(SEG), F.sum("n").alias("n"),
+            *[F.max(F.when(is_first, F.col(c))).alias(c) for c in ("head_period", "head_upb", "head_met")],
+            *[F.max(F.when(is_last, F.col(c))).alias(c) for c in ("last_period", "last_sts", "last_upb")]]
+    for name in names:
+        here, kept = _bit("_by_head", name), F.col(f"{name}_at")
+        at = (F.when(here, _at(F.col("_no"), F.col("head_period")))
+              .when(kept.isNotNull(), _at(F.col("_no"), _period_of(kept))))
+        upb = F.when(here, F.col("_head_upb")).otherwise(F.col(f"{name}_upb"))
+        aggs += [F.min(at).alias(f"{name}_at"), F.min_by(upb, at).alias(f"{name}_upb")]
+    if terminal:
+        one = F.struct(*[F.col("_one")[c].alias(c) for c in LAGGED])
+        second = F.when(F.col("n") >= 2, F.col("second")).when(~is_first, one)
+        third = (F.when(F.col("n") >= 3, F.col("third_sts")).when(F.col("n") == 2, F.col("_one.delq_sts"))
+                 .when(F.col("_one.n") >= 2, F.col("_one.second_sts")).otherwise(F.col("_two_sts")))
+        aggs.append(F.max(F.when(is_last, F.struct("last", second.alias("second"), third.alias("third_sts")))).alias("_end"))
+    made = looked.groupBy(key).agg(*aggs)
+    return (made.select("*", "_end.*") if terminal else made).select(*columns)
 
 
 def finish(state: DataFrame, key: str = "id_loan") -> DataFrame:
     """Events of whole loans, one segment each: a struct column per event (NULL when it never
     happened) and, if kept, the terminal record."""
-    names, rows = _names(state), _with_heads(state, None)
-    events = [F.coalesce(f"_head_{n}", n).alias(n) for n in names]
+    events = []
+    for name in _names(state):
+        at_head = F.struct(F.col("head_period").alias("period"), nonzero("head_upb").alias("upb"))
+        later = F.struct(_period_of(F.col(f"{name}_at")).alias("period"), F.col(f"{name}_upb").alias("upb"))
+        events.append(F.when(_head_meets(name, None, None), at_head).when(F.col(f"{name}_at").isNotNull(), later).alias(name))
     if "second" not in state.columns:
-        return rows.select(key, *events)
+        return state.select(key, *events)
     first, last, second = F.col("n") == 1, F.col("last"), F.col("second")
     upb = state.schema["last"].dataType["act_endg_upb"].dataType.simpleString()
     prior = {
@@ -164,7 +201,7 @@ def finish(state: DataFrame, key: str = "id_loan") -> DataFrame:
         "prior_frb_upb": second["amt_non_int_brng_upb"],
     }
     terminal = F.struct(*[prior.get(c, last[c]).alias(c) for c in TERMINAL_PAYLOAD])
-    return rows.select(key, *events, terminal.alias("terminal"))
+    return state.select(key, *events, terminal.alias("terminal"))
 
 
 def loan_events(svcg: DataFrame, group: Column, key: str = "id_loan", events: Iterable[str] = EVENTS,
@@ -176,6 +213,6 @@ def loan_events(svcg: DataFrame, group: Column, key: str = "id_loan", events: It
 def first_event(events: DataFrame, orig: DataFrame, name: str, ind: str, upb: str, key: str = "id_loan") -> DataFrame:
     """Loans of ``orig`` on which event ``name`` occurred: indicator 1 and the balance at it.  Of several
     origination balances of a loan the least counts."""
-    e = events.where(F.col(name).isNotNull()).select(key, f"{name}.*")
+    e = events.where(F.col(name).isNotNull()).select(key, f"{name}.upb")
     origin = orig.groupBy(key).agg(F.min("orig_upb").alias("orig_upb"))
-    return e.join(origin, key).select(key, F.lit(1).alias(ind), waterfall("act_endg_upb", "prior_upb", "orig_upb").alias(upb))
+    return e.join(origin, key).select(key, F.lit(1).alias(ind), F.coalesce("upb", "orig_upb").alias(upb))

@@ -15,12 +15,8 @@ from loanlife.operators.events import BUCKETS
 from loanlife.operators.master import loan_events_from_panel
 
 
-def _balance(event: str) -> str:
-    return f"COALESCE(NULLIF({event}.act_endg_upb, 0), NULLIF({event}.prior_upb, 0), o.orig_upb)"
-
-
 def _event(event: str, ind: str, upb: str) -> str:
-    return f"CASE WHEN {event} IS NOT NULL THEN 1 END AS {ind}, CASE WHEN {event} IS NOT NULL THEN {_balance(event)} END AS {upb}"
+    return f"CASE WHEN {event} IS NOT NULL THEN 1 END AS {ind}, CASE WHEN {event} IS NOT NULL THEN COALESCE({event}.upb, o.orig_upb) END AS {upb}"
 
 
 def _months(period: str) -> str:
@@ -37,7 +33,7 @@ def sql_master(orig: DataFrame, svcg: DataFrame) -> DataFrame:
       WITH loans AS (
         SELECT o.*, terminal AS t, {", ".join(name for _, name in BUCKETS)}, first_mod, pd_d180,
                terminal.cd_zero_bal IN ('03', '09') AS defaulted,
-               {_balance("terminal")} AS last_upb,
+               COALESCE(NULLIF(terminal.act_endg_upb, 0), NULLIF(terminal.prior_upb, 0), o.orig_upb) AS last_upb,
                COALESCE(NULLIF(terminal.new_int_rt, 0), terminal.prior_int_rt) AS rate,
                COALESCE(terminal.period div 100 = 1999, false) AS no_loss_year,
                COALESCE(trim(terminal.net_sale_proceeds) = 'C', false) AS covered,
