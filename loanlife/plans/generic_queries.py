@@ -131,14 +131,20 @@ def q_page_links(spark, sf):
     return page_links(_t(spark, sf, "pages"), keyword="the")
 
 
-# A listing page per origination quarter, as an index of quarterly files would look:
-# each quarter's link in another spelling, besides links that the filter must not take.
+# The whole pages table, and with it a listing page per origination quarter, as an index of quarterly files
+# would look: each quarter's link in another spelling, besides links that the filter must not take.
 _LISTING_KINDS = 4
 
 
 @register("page_links_years", f"""{O.PANEL},
 q AS (SELECT DISTINCT orign_qtr AS q, row_number() OVER (ORDER BY orign_qtr) - 1 AS i
-      FROM (SELECT DISTINCT orign_qtr FROM orig))
+      FROM (SELECT DISTINCT orign_qtr FROM orig)),
+pieces AS (SELECT page_id, url, UNNEST(string_split(html, '<a href="')[2:]) AS p FROM pages),
+links AS (SELECT page_id, url, split_part(p, '"', 1) AS href,
+                 split_part(substr(p, strpos(p, '">') + 2), '</a>', 1) AS link_text FROM pieces)
+SELECT page_id, link_text, href, split_part(url, '/', 1) || '//' || split_part(url, '/', 3) || href AS link_url
+FROM links WHERE contains(link_text, 'historical') AND regexp_matches(link_text, '1993|1994|1995|1996')
+UNION ALL
 SELECT i AS page_id, 'historical data ' || q || ' full' AS link_text,
   CASE i % 4 WHEN 0 THEN 'data_' || q || '.zip' WHEN 1 THEN '/files/data_' || q || '.zip'
              WHEN 2 THEN '//cdn.example/data_' || q || '.zip' ELSE '?file=' || q END AS href,
@@ -161,6 +167,7 @@ def q_page_links_years(spark, sf):
                              "<a name=\"%s\">historical %s</a><a href=\"/s\">sample %s</a>", q, q, q)
     pages = quarters.select(F.col("i").alias("page_id"), F.lit("https://feeds.example/index/list?x=1#top").alias("url"),
                             F.concat(F.lit("<p>"), own, others, F.lit("</p>")).alias("html"))
+    pages = _t(spark, sf, "pages").select("page_id", "url", "html").unionByName(pages)
     return page_links(pages, keyword="historical", year_from=1993, year_to=1996)
 
 

@@ -19,6 +19,7 @@ from loanlife.plans import oracle
 from loanlife.plans.master_store import MasterStore
 from loanlife.session import scratch_path
 from loanlife.sources.panel import panel
+from loanlife.sources.panel_table import PanelTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,4 +113,13 @@ def q_loan_master_batches(spark, sf):
     return store.master(orig)
 
 
+@register("loan_master_stored", oracle.master_sql())
+def q_loan_master_stored(spark, sf):
+    """The panel stored in buckets by loan and year when the query is built; the master reads it as it lies."""
+    orig, svcg = panel(spark, sf, cluster=True)
+    table = PanelTable(spark, scratch_path(spark, "panel-table"))
+    table.append(svcg)
+    return table.master(orig)
+
+
 from loanlife.plans import generic_queries as _generic  # noqa: E402,F401  (registers the rest)

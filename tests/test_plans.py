@@ -26,7 +26,7 @@ def static_plans(spark):
 
 def test_no_python_udf_or_cartesian_anywhere(spark):
     for name, q in QUERIES.items():
-        if name in ("io_roundtrip", "ingest_by_quarter", "append_quarters"):
+        if name in ("io_roundtrip", "ingest_by_quarter", "append_quarters", "loan_master_batches"):
             continue  # these write files while being built; covered by test_ingest
         p = _plan(q(spark, SF))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
@@ -46,16 +46,21 @@ def _on_plain_files(spark):
 def test_loan_master_shape_on_plain_files(spark, static_plans):
     from loanlife.operators.master import loan_master
     p = _plan(loan_master(*_on_plain_files(spark)))
-    windows = [line for line in p.splitlines() if "Window [" in line]
-    # rows are windowed per (loan, year); only the summaries are windowed per loan
-    rows = [w for w in windows if "row_number()" in w]
-    assert rows and all("_g#" in w.split("], [")[1] for w in rows)
-    # the copies collapse in a partial aggregate before the first exchange of the panel
-    assert p.count("SortMergeJoin") == 2          # summary back to the rows, origination with events
-    # events are reduced per loan-year where the windows left them: no exchange and no sort in between
-    events = p[p.index("SortAggregate(key=[id_loan"):]
-    in_place = events[events.index("_year"):events.index("SortMergeJoin")]
-    assert "partial_min(" in in_place and "Exchange" not in in_place and "Sort [" not in in_place
+    by = [line.split("], [")[1] for line in p.splitlines() if "Window [" in line]
+    # rows are windowed per (loan, year); only segments, one row for each of these, per loan
+    assert len(by) == 2 and "seg#" not in by[0] and "seg#" in by[1]
+    assert p.count("SortMergeJoin") == 1          # origination with events; no row is joined
+    # segments are made where the windows left the rows
+    made = p[p.index("Window ["):p.rindex("Window [")]
+    assert made.count("Exchange") == 1 and "hashpartitioning(id_loan" in made and "seg#" not in made.split("Exchange")[1].split("\n")[0]
+    # the rows move twice: copies collapse in a partial aggregate before the first, the second deals them out
+    assert p[p.rindex("Window ["):].count("Exchange") == 2 + 0
+
+
+def test_events_alone_are_found_by_hash_aggregation(spark, static_plans):
+    for name in ("dlq_30", "dlq_60", "dlq_90", "dlq_120", "dlq_180", "pd_d180", "first_mod"):
+        p = _plan(QUERIES[name](spark, SF))
+        assert "SortAggregate" not in p and "ObjectHashAggregate" not in p and "HashAggregate" in p, name
 
 
 def test_loan_master_shape_for_bounded_loans(spark, static_plans):
