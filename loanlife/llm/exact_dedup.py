@@ -11,6 +11,7 @@ Defined results
 * within a batch the row with the largest ``doc_id`` stays; null ids lose against any id;
 * a text that an earlier batch brought stays with that batch's row: no row of
   the new batch is kept;
+* a batch that is appended again under its name (after a failure, say) adds only what is missing and is labelled as before;
 * rows that repeat both id and text are labelled alike; ``kept_rows`` returns one of them;
 * an empty batch leaves the index as it is; extra columns are passed through untouched.
 """
@@ -36,23 +37,36 @@ class DigestIndex:
     """A digest index at ``path`` (a shared folder); created when absent, reopened otherwise.
 
     ``buckets`` fixes the layout when the index is created, so that it should
-    follow the size the index will reach, not that of the first batch.
+    follow the size the index will reach, not that of the first batch.  The number is kept
+    in a folder beside the index and read when it is opened again; another one is refused,
+    since digests placed by one number are not found by another.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
         self.spark, self.path = spark, path
-        self.buckets = buckets or shuffle_partitions(spark)
+        beside = f"{path.rstrip('/')}-layout"
+        spark.createDataFrame([], "buckets int").write.mode("append").json(beside)
+        kept = spark.read.schema("buckets int").json(beside).first()
+        self.buckets = kept["buckets"] if kept else buckets or shuffle_partitions(spark)
+        if buckets not in (None, self.buckets):
+            raise ValueError(f"{path} has {self.buckets} buckets and cannot be opened with {buckets}")
+        if not kept:
+            spark.createDataFrame([(self.buckets,)], "buckets int").coalesce(1).write.mode("append").json(beside)
         self.table = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(f"CREATE TABLE {self.table} (digest STRING, keep_id BIGINT, group_size BIGINT, batch STRING) "
                   f"USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS "
                   f"LOCATION '{path}'")
 
+    def close(self) -> None:
+        """Forget the session's catalogue name; the index stays."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+
     def rows(self) -> DataFrame:
         return self.spark.table(self.table)
 
-    def append(self, batch: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> str:
+    def append(self, batch: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str | None = None) -> str:
         """Add the batch's new digests; returns the batch's name in the index."""
-        name = uuid.uuid4().hex
+        name = name or uuid.uuid4().hex
         groups = (batch.select(text_digest(F.col(text_col)).alias("digest"),
                                F.col(id_col).cast("bigint").alias("keep_id"))
                   .groupBy("digest").agg(F.max("keep_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))

@@ -1,6 +1,8 @@
 import hashlib
 from collections import defaultdict
 
+import pytest
+
 from loanlife.llm.exact_dedup import DigestIndex
 from loanlife.llm.queries import op1_exact_dedup
 from loanlife.session import scratch_path
@@ -50,6 +52,36 @@ def test_index_persists_and_later_batches_keep_only_new_texts(spark):
     assert again.kept_rows(second, again.append(second)).count() == 0
 
 
+def test_reopened_with_other_settings_no_digest_comes_twice(spark):
+    path = scratch_path(spark, "ix")
+    batch = spark.range(300).selectExpr("id as doc_id", "concat('text ', id) as text")
+    DigestIndex(spark, path, 8).append(batch, name="first")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in ("4", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            index = DigestIndex(spark, path)
+            assert index.buckets == 8
+            name = index.append(batch)
+            assert index.kept_rows(batch, name).count() == 0 and index.label(batch, name).count() == 300
+            assert index.rows().count() == 300
+            index.close()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    with pytest.raises(ValueError):
+        DigestIndex(spark, path, 4)
+
+
+def test_a_batch_lost_half_way_is_appended_again(spark):
+    index = DigestIndex(spark, scratch_path(spark, "ix"), 4)
+    batch = spark.range(60).selectExpr("id as doc_id", "concat('text ', id % 40) as text")
+    index.append(batch.where("doc_id % 40 < 13"), name="b")       # what the lost run had written
+    assert index.append(batch, name="b") == "b" == index.append(batch, name="b")
+    told = index.label(batch, "b").collect()
+    assert len(told) == 60 and sum(r["kept"] for r in told) == 40 == index.rows().count()
+    assert {r["keep_id"] for r in told} == set(range(20, 60))
+
+
 def test_join_with_the_index_does_not_shuffle_it(spark, edge_docs):
     index = DigestIndex(spark, scratch_path(spark, "ix"), 4)
     index.append(edge_docs)
