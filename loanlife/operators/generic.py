@@ -18,6 +18,8 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanlife.session import scratch_path
+
 
 def _cols(xs) -> list[str]:
     return [xs] if isinstance(xs, str) else list(xs)
@@ -151,6 +153,24 @@ def lags_split(df: DataFrame, key: str, group: Column, order: Sequence[Column],
                     (F.coalesce("_offset", F.lit(0)) + rg).cast("int").alias(rn), *out)
 
 
+def lags_runs(df: DataFrame, key: str, order: Sequence[str], lags: dict[str, tuple[str, int]], rn: str = "rn") -> DataFrame:
+    """Same rows as ``lags_one_window`` whatever a key or a part of it holds: one key, or one month of one key,
+    with most of the table is spread over all tasks.
+
+    Rows are range-partitioned by key and ``order`` (columns, a total order within the key), so that
+    each task has one sorted run of the whole; the runs are written, with every row's run and place,
+    to the shared scratch folder when this is called.  Within a run a window gives the lags; what lies before a
+    run comes from the border rows of the runs before it (``lags_split`` with the run as the group).
+    """
+    by = [F.col(c).asc_nulls_first() for c in [key, *order]]
+    path, at = scratch_path(df.sparkSession, "runs"), "_run_place"
+    (df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn(at, F.monotonically_increasing_id())
+     .write.parquet(path))
+    runs = df.sparkSession.read.parquet(path)
+    # The high bits are the task that wrote the row, the low ones its place there.
+    return lags_split(runs, key, F.shiftright(at, 33), [F.col(at)], lags, rn).drop(at)
+
+
 def with_lags(df: DataFrame, key: str, order: Sequence[Column], lags: dict[str, tuple[str, int]],
               group: Column) -> DataFrame:
     """Add lag columns name → (column, offset); see ``lags_split`` for ``group``."""

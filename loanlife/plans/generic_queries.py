@@ -326,6 +326,15 @@ def q_lag2(spark, sf):
         "event_id", "user_id", "prev2_event_type", "prev2_value")
 
 
+@register("lag_runs", "SELECT event_id, user_id, row_number() OVER w AS rn, lag(event_type) OVER w AS prev_event_type, "
+          "lag(value, 2) OVER w AS prev2_value FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)")
+def q_lag_runs(spark, sf):
+    """Lags over sorted runs: no user and no month of a user has to fit in one task."""
+    return G.lags_runs(_events(spark, sf), "user_id", ["ts", "event_id"], {
+        "prev_event_type": ("event_type", 1), "prev2_value": ("value", 2)}).select(
+        "event_id", "user_id", F.col("rn").cast("bigint").alias("rn"), "prev_event_type", "prev2_value")
+
+
 @register("window_first", "SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() "
           "OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events) WHERE r = 1")
 def q_window_first(spark, sf):

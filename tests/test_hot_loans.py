@@ -8,7 +8,7 @@ from conftest import frames, orig_row, svcg_row
 from pyspark.sql import functions as F
 
 from loanlife.operators.detail import servicing_detail, with_priors
-from loanlife.operators.generic import lags_one_window, with_lags
+from loanlife.operators.generic import lags_one_window, lags_runs, with_lags
 from loanlife.operators.master import loan_master
 from loanlife.plans.queries import QUERIES
 from loanlife.sources.panel import panel
@@ -82,6 +82,26 @@ def test_no_job_runs_while_loan_queries_are_built(spark):
             spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
+def test_one_loan_year_with_most_rows_is_spread_over_tasks(spark):
+    """Runs of the sorted whole: ties in every month of one year of one loan, a third of all rows and more."""
+    rows = [svcg_row("HOT", f"{199900 + m + 1}:{i}:{(i + m) % 7}") for m in range(12) for i in range(100)]
+    rows += [svcg_row(f"L{i:03}", f"{200001 + k}:{k}:{k % 3}") for i in range(80) for k in range(6)]
+    svcg = frames(spark, rows, [])[0].select("id_loan", "period", "act_endg_upb", "delq_sts")
+    lags = {"one": ("delq_sts", 1), "upb": ("act_endg_upb", 1), "two": ("delq_sts", 2)}
+    order = ["period", "act_endg_upb", "delq_sts"]
+    before = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "12")
+        got = lags_runs(svcg.repartition("id_loan"), "id_loan", order, lags)
+        assert _rows(got) == _rows(lags_one_window(svcg, "id_loan", [F.col(c).asc_nulls_first() for c in order], lags))
+        per_task = [r["count"] for r in got.where("id_loan = 'HOT'").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before[0])
+        spark.conf.set("spark.sql.shuffle.partitions", before[1])
+    assert sum(per_task) == 1200 and len(per_task) >= 4 and max(per_task) <= 600
+
+
 def test_event_lags_split_by_month_equal_one_window(spark):
     ev = spark.read.parquet(f"{SF}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
     ev = ev.unionByName(ev.limit(3).withColumn("user_id", F.lit(None).cast("bigint")).withColumn("event_id", F.col("event_id") + 10 ** 9))
