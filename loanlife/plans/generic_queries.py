@@ -115,6 +115,12 @@ def q_sql_surface_master(spark, sf):
     return sql_master(*panel(spark, sf, cluster=True))
 
 
+@register("sql_surface_full", O.master_sql())
+def q_sql_surface_full(spark, sf):
+    """SQL from the lags to the last select, by the registered SQL functions."""
+    return sql_master(*panel(spark, sf, cluster=True), all_sql=True)
+
+
 @register("page_links", """
 WITH pieces AS (SELECT page_id, url, UNNEST(string_split(html, '<a href="')[2:]) AS p FROM pages),
 links AS (SELECT page_id, url, split_part(p, '"', 1) AS href,

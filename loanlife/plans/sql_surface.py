@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from loanlife.functions.exprs import NUMBER_PATTERN
 from loanlife.operators.events import BUCKETS
 from loanlife.operators.master import loan_events_from_panel
+from loanlife.plans import sql_functions
 
 
 def _event(event: str, ind: str, upb: str) -> str:
@@ -23,10 +24,20 @@ def _months(period: str) -> str:
     return f"({period} div 100 * 12 + {period} % 100)"
 
 
-def sql_master(orig: DataFrame, svcg: DataFrame) -> DataFrame:
-    """Every column of the loan master, written as SQL over the origination and the loans' events."""
+def sql_master(orig: DataFrame, svcg: DataFrame, all_sql: bool = False) -> DataFrame:
+    """Every column of the loan master, written as SQL over the origination and the loans' events.
+
+    With ``all_sql`` the events are SQL over the panel too (``sql_functions``), for panels
+    whose loans are small.
+    """
     spark, tag = orig.sparkSession, uuid.uuid4().hex
-    loan_events_from_panel(svcg).createOrReplaceTempView(f"events_{tag}")
+    if all_sql:
+        sql_functions.register(spark)
+        svcg.createOrReplaceTempView(f"panel_{tag}")
+        detail = sql_functions.sql_detail(f"panel_{tag}", svcg.columns)
+        spark.sql(sql_functions.sql_events(detail)).createOrReplaceTempView(f"events_{tag}")
+    else:
+        loan_events_from_panel(svcg).createOrReplaceTempView(f"events_{tag}")
     orig.createOrReplaceTempView(f"origination_{tag}")
     buckets = ", ".join(_event(name, f"{name}_ind", f"{name}_upb") for _, name in BUCKETS)
     return spark.sql(f"""

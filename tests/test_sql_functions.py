@@ -1,0 +1,37 @@
+"""The SQL functions against the Column expressions, and the detail as SQL against the operator."""
+
+from __future__ import annotations
+
+from conftest import frames, orig_row, svcg_row
+
+from loanlife.operators.detail import with_priors
+from loanlife.operators.master import loan_master
+from loanlife.plans import sql_functions
+from loanlife.plans.sql_surface import sql_master
+from test_unit_loans import LOANS
+
+
+def _rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_functions_follow_the_rules(spark):
+    sql_functions.register(spark)
+    sql_functions.register(spark)      # again
+    got = spark.sql("""SELECT loan_waterfall(0, NULL, 7) AS a, loan_waterfall(0, 5, 7) AS b, loan_rate(0, 6.5) AS c,
+      loan_month_gap(199912, 200001) AS d, loan_number(' 4.5 ') AS e, loan_number('R') AS f, loan_status('R', '3', 1) AS g,
+      loan_status('R', '3', 2) AS h, loan_status(NULL, '3', 1) AS i, loan_status('7', 'R', 1) AS j,
+      loan_d180('7', '7', '03') AS k, loan_d180(NULL, 'R', NULL) AS l, loan_d180(NULL, NULL, NULL) AS m""").first()
+    assert [float(x) if i < 3 else x for i, x in enumerate(got)] == [
+        7, 5, 6.5, 1, 4.5, None, "4", None, None, "7", False, True, False]
+
+
+def test_detail_and_master_equal_the_operators_on_unit_loans(spark):
+    rows = [svcg_row(k, s) for k, specs in LOANS.items() for s in specs]
+    svcg, orig = frames(spark, rows + rows[:3], [orig_row(k) for k in LOANS])
+    sql_functions.register(spark)
+    svcg.createOrReplaceTempView("unit_panel")
+    own = with_priors(svcg, bounded_loans=True)
+    detail = spark.sql(sql_functions.sql_detail("unit_panel", svcg.columns))
+    assert set(detail.columns) == set(own.columns) and _rows(detail.select(own.columns)) == _rows(own)
+    assert _rows(sql_master(orig, svcg, all_sql=True)) == _rows(loan_master(svcg, orig))
