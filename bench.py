@@ -23,16 +23,18 @@ from loanlife.operators.events import BUCKETS, bucket_condition, d180_condition,
 from loanlife.operators.master import loan_master  # noqa: E402
 from loanlife.operators.outcomes import T  # noqa: E402
 from loanlife.plans.job import read_feeds  # noqa: E402
+from loanlife.plans.master_store import MasterStore  # noqa: E402
 from loanlife.plans.queries import QUERIES  # noqa: E402
 from loanlife.schema import ORIG_SPEC, SVCG_SPEC  # noqa: E402
 from loanlife.session import local_session, scratch_path  # noqa: E402
 from loanlife.sources.panel import panel  # noqa: E402
+from loanlife.sources.panel_table import PanelTable  # noqa: E402
 
 HEADLINE = [
     "loan_master", "servicing_detail", "dlq_90", "pd_d180", "first_mod", "terminal_record",
     "default_loss", "default_disposition", "union_distinct", "first_by_bucket", "left_chain",
     "dedupe_rows", "join_three", "page_links",
-    "loan_master_parquet", "loan_master_parquet_bounded", "loan_master_text",
+    "loan_master_parquet", "loan_master_parquet_bounded", "loan_master_text", "loan_master_buckets", "loan_master_state",
 ]
 
 
@@ -84,6 +86,8 @@ def stored(spark, sf_dir: str) -> str:
         for df, spec, name in ((orig, ORIG_SPEC, "orig"), (svcg, SVCG_SPEC, "svcg")):
             (df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast("string").alias(c) for c, _ in spec])
              .write.option("sep", "|").csv(f"{base}/text/{name}"))
+        PanelTable(spark, f"{base}/table").append(svcg)
+        MasterStore(spark, f"{base}/store").load(svcg, "all")
         _stored[sf_dir] = base
     return _stored[sf_dir]
 
@@ -93,6 +97,16 @@ def master_from_parquet(spark, sf_dir: str, bounded: bool = False):
     return loan_master(spark.read.parquet(f"{base}/svcg"), spark.read.parquet(f"{base}/orig"), bounded_loans=bounded)
 
 
+def master_from_buckets(spark, sf_dir: str):
+    base = stored(spark, sf_dir)
+    return PanelTable(spark, f"{base}/table").master(spark.read.parquet(f"{base}/orig"))
+
+
+def master_from_state(spark, sf_dir: str):
+    base = stored(spark, sf_dir)
+    return MasterStore(spark, f"{base}/store").master(spark.read.parquet(f"{base}/orig"))
+
+
 def master_from_text(spark, sf_dir: str):
     base = stored(spark, sf_dir)
     orig, svcg, _ = read_feeds(spark, f"{base}/text/orig", f"{base}/text/svcg")
@@ -102,7 +116,8 @@ def master_from_text(spark, sf_dir: str):
 # Beside the registered queries: the master from stored files, so that the shuffle of the panel counts.
 FILES = {"loan_master_parquet": master_from_parquet,
          "loan_master_parquet_bounded": lambda spark, sf: master_from_parquet(spark, sf, bounded=True),
-         "loan_master_text": master_from_text}
+         "loan_master_text": master_from_text, "loan_master_buckets": master_from_buckets,
+         "loan_master_state": master_from_state}
 
 COMPARE = {"loan_master_one_pass": one_pass_master, "loan_master_join_chain": join_chain_master}
 

@@ -73,6 +73,11 @@ def _events(spark, sf):
     return segments.loan_events(svcg, year_group(), events=[]), orig
 
 
+def _known(events, orig):
+    """Events of loans that have an origination row."""
+    return events.join(orig.select("id_loan"), "id_loan", "left_semi")
+
+
 @register("terminal_record", oracle.terminal_sql())
 def q_terminal_record(spark, sf):
     ev, orig = _events(spark, sf)
@@ -87,14 +92,14 @@ def q_default_loss(spark, sf):
 
 @register("outcome_flags", oracle.outcome_flags_sql())
 def q_outcome_flags(spark, sf):
-    ev, _ = _events(spark, sf)
-    return outcomes.outcome_flags(ev)
+    ev, orig = _events(spark, sf)
+    return outcomes.outcome_flags(_known(ev, orig))
 
 
 @register("default_disposition", oracle.default_disposition_sql())
 def q_default_disposition(spark, sf):
-    ev, _ = _events(spark, sf)
-    return outcomes.default_disposition(ev)
+    ev, orig = _events(spark, sf)
+    return outcomes.default_disposition(_known(ev, orig))
 
 
 @register("loan_master", oracle.master_sql())
