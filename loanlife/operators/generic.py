@@ -32,6 +32,37 @@ def dedupe(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     return df.dropDuplicates(list(subset)) if subset else df.dropDuplicates()
 
 
+def drop_adjacent(df: DataFrame, order: Sequence[str], compare: Sequence[str] | None = None,
+                  small_keys: Sequence[str] | None = None) -> DataFrame:
+    """Rows that differ in some ``compare`` column (all, if not given) from the row before them in the order of
+    ``order``: of each run of neighbours that are alike the first stays, copies further apart stay too.
+
+    ``order`` must leave no tie between rows that differ (nulls come first).  The whole table is one
+    order: rows are range-partitioned and written as sorted runs (``sorted_runs``, when this is called), each task
+    compacts its run, and the first row of a run is judged by the last one of the run before it, so
+    that no key and no spell of copies has to fit in one task.
+    With ``small_keys``, leading columns of ``order`` that ``compare`` holds too and whose groups the caller knows to
+    be small, one window per key does the same in a single shuffle.
+    """
+    compare, alike = list(compare or df.columns), "_alike"
+    by = [F.col(c).asc_nulls_first() for c in order]
+    row = F.struct(*compare)
+    if small_keys:
+        assert list(order[:len(small_keys)]) == list(small_keys) and set(small_keys) <= set(compare)
+        before = F.lag(row).over(Window.partitionBy(*small_keys).orderBy(*by))
+        return df.select("*", before.eqNullSafe(row).alias(alike)).where(~F.col(alike)).drop(alike)
+    # The last column tells copies apart, so that a spell of them can be cut into several runs.
+    runs = sorted_runs(df.withColumn("_copy", F.monotonically_increasing_id()), [*order, "_copy"])
+    within = Window.partitionBy("_run").orderBy("_place")
+    judged = runs.select("*", F.row_number().over(within).alias("_n"), F.lag(row).over(within).eqNullSafe(row).alias(alike))
+    lasts = runs.groupBy("_run").agg(F.max_by(row, "_place").alias("_row"))      # one row per run
+    borders = lasts.select(F.lead("_run").over(Window.orderBy("_run")).alias("_run"), F.col("_row").alias("_border"))
+    first = F.col("_n") == 1
+    seen = F.when(first, F.col("_border").eqNullSafe(row)).otherwise(F.col(alike))
+    return (judged.join(borders.where(F.col("_run").isNotNull()), "_run", "left")
+            .where(~seen).select(*df.columns))
+
+
 def drop_null_key(df: DataFrame, keys) -> DataFrame:
     return df.na.drop(how="any", subset=_cols(keys))
 
@@ -153,6 +184,18 @@ def lags_split(df: DataFrame, key: str, group: Column, order: Sequence[Column],
                     (F.coalesce("_offset", F.lit(0)) + rg).cast("int").alias(rn), *out)
 
 
+def sorted_runs(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The table in sorted runs, one for each task: range-partitioned by ``order`` (nulls first), sorted, and
+    written to the shared scratch folder when this is called.  ``_place`` rises along the whole order, ``_run``
+    is the task that wrote the row.  A spell of equal ``order`` values is one run.
+    """
+    by = [F.col(c).asc_nulls_first() for c in order]
+    path = scratch_path(df.sparkSession, "runs")
+    (df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_place", F.monotonically_increasing_id())
+     .write.parquet(path))
+    return df.sparkSession.read.parquet(path).withColumn("_run", F.shiftright("_place", 33))
+
+
 def lags_runs(df: DataFrame, key: str, order: Sequence[str], lags: dict[str, tuple[str, int]], rn: str = "rn") -> DataFrame:
     """Same rows as ``lags_one_window`` whatever a key or a part of it holds: one key, or one month of one key,
     with most of the table is spread over all tasks.
@@ -162,12 +205,9 @@ def lags_runs(df: DataFrame, key: str, order: Sequence[str], lags: dict[str, tup
     to the shared scratch folder when this is called.  Within a run a window gives the lags; what lies before a
     run comes from the border rows of the runs before it (``lags_split`` with the run as the group).
     """
-    by = [F.col(c).asc_nulls_first() for c in [key, *order]]
-    path, at = scratch_path(df.sparkSession, "runs"), "_run_place"
-    (df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn(at, F.monotonically_increasing_id())
-     .write.parquet(path))
-    runs = df.sparkSession.read.parquet(path)
-    # The high bits are the task that wrote the row, the low ones its place there.
+    at = "_run_place"
+    runs = sorted_runs(df, [key, *order]).withColumn(at, F.col("_place")).drop("_run", "_place")
+    # The high bits are the run, the low ones the place in it.
     return lags_split(runs, key, F.shiftright(at, 33), [F.col(at)], lags, rn).drop(at)
 
 

@@ -72,6 +72,36 @@ def q_typed_parse(spark, sf):
     return ingest.typed_parse(as_text, PANEL_SVCG_SPEC)
 
 
+_FAULTY = {"period": ("delq_sts = '2'", "concat('P', period)"), "act_endg_upb": ("period % 12 = 5", "concat(act_endg_upb, '?')"),
+           "id_loan": ("period % 100 = 7 AND delq_sts = '1'", "''")}
+
+
+@register("quarantine", f"""{O.PANEL},
+bad AS (SELECT CASE WHEN period % 100 = 7 AND delq_sts = '1' THEN NULL ELSE id_loan END AS id_loan,
+               CASE WHEN delq_sts = '2' THEN concat('P', CAST(period AS VARCHAR)) END AS bad_period,
+               CASE WHEN period % 12 = 5 AND act_endg_upb IS NOT NULL
+                    THEN concat(CAST(act_endg_upb AS VARCHAR), '?') END AS bad_upb FROM svcg)
+SELECT id_loan, 'period' AS column_name, bad_period AS value, r AS reason, count(*) AS n
+FROM bad, (VALUES ('rejected'), ('missing')) t(r) WHERE bad_period IS NOT NULL GROUP BY ALL
+UNION ALL
+SELECT id_loan, 'act_endg_upb', bad_upb, 'rejected', count(*) FROM bad WHERE bad_upb IS NOT NULL GROUP BY ALL
+UNION ALL
+SELECT NULL, 'id_loan', NULL, 'missing', count(*) FROM bad WHERE id_loan IS NULL HAVING count(*) > 0""")
+def q_quarantine(spark, sf):
+    """The panel written as text with faults in three columns, loaded, and each fault listed with
+    the loan in its record."""
+    path, staged = scratch_path(spark, "faulty"), scratch_path(spark, "staged")
+    text = _svcg(spark, sf).select(*[F.col(c).cast("string").alias(c) for c in SVCG_COLUMNS])
+    faulty = text.select(*[F.expr(f"CASE WHEN {_FAULTY[c][0]} THEN {_FAULTY[c][1]} ELSE {c} END").alias(c)
+                           if c in _FAULTY else F.col(c) for c in SVCG_COLUMNS])
+    sink.write_delimited(faulty, path, header=False)
+    ingest.load_feed(spark, path, PANEL_SVCG_SPEC, ("id_loan", "period"), staged)
+    faults = ingest.quarantine(spark, staged)
+    loan = F.nullif(F.split("record", r"\|")[0], F.lit("")).alias("id_loan")
+    return ingest.quarantine(spark, staged).groupBy(loan, F.col("column").alias("column_name"), "value", "reason").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 @register("ingest_by_quarter", f"{O.PANEL}\nSELECT * FROM orig")
 def q_ingest_by_quarter(spark, sf):
     path = scratch_path(spark, "by_quarter")
@@ -341,6 +371,20 @@ def q_lag_runs(spark, sf):
         "event_id", "user_id", F.col("rn").cast("bigint").alias("rn"), "prev_event_type", "prev2_value")
 
 
+_STATUS_ORDER = ["id_loan", "period", "act_endg_upb"] + [c for c in SVCG_COLUMNS if c not in ("id_loan", "period", "act_endg_upb")]
+
+
+@register("status_spells", f"""{O.PANEL}
+SELECT id_loan, period, delq_sts FROM (
+  SELECT id_loan, period, delq_sts, row_number() OVER w AS r, lag(delq_sts) OVER w AS before FROM svcg
+  WINDOW w AS (PARTITION BY id_loan ORDER BY {', '.join(c + ' NULLS FIRST' for c in _STATUS_ORDER[1:])}))
+WHERE r = 1 OR before IS DISTINCT FROM delq_sts""")
+def q_status_spells(spark, sf):
+    """First row of each spell of one status: rows like their neighbour go, the same status later on stays."""
+    return G.drop_adjacent(_svcg(spark, sf), _STATUS_ORDER, compare=["id_loan", "delq_sts"]).select(
+        "id_loan", "period", "delq_sts")
+
+
 @register("window_first", "SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() "
           "OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events) WHERE r = 1")
 def q_window_first(spark, sf):

@@ -62,3 +62,34 @@ def test_keys_flagged_and_enrich(spark):
     base = ev.select("user_id").distinct()
     e = G.enrich(base, "user_id", ev, "user_id", [F.count(F.lit(1)).alias("n")])
     assert _rows(e) == _rows(ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")))
+
+
+def test_adjacent_copies_go_and_copies_further_apart_stay(spark):
+    # Both readings of duplicate removal differ: the third row is a copy of the first, but not its neighbour.
+    rows = [("a", 1, "x"), ("a", 2, "y"), ("a", 3, "x"), ("a", 4, "x"), ("b", 1, "x"), (None, 1, "x"), (None, 2, "x"),
+            ("a", 1, "x"), ("c", None, None), ("c", 1, None)]
+    df = spark.createDataFrame(rows, "k string, n int, s string")
+    want = [("a", 1, "x"), ("a", 2, "y"), ("a", 3, "x"), ("b", 1, "x"), ("c", None, None), (None, 1, "x")]
+    for small in (None, ["k"]):
+        got = G.drop_adjacent(df, ["k", "n"], ["k", "s"], small_keys=small)
+        assert sorted(map(str, got.collect())) == sorted(str(r) for r in spark.createDataFrame(want, df.schema).collect())
+    assert G.dedupe(df.select("k", "s")).count() == 5 < len(want)
+
+
+def test_a_spell_longer_than_any_task_is_one_row(spark):
+    # One key holds nearly all rows; they form three spells, cut into runs over many tasks, and one row is repeated 5,000 times.
+    n = F.col("id")
+    df = spark.range(20000).select(F.lit("hot").alias("k"), F.when(n < 5000, 0).otherwise(n).alias("n"),
+                                   F.when(n.between(9000, 9001), "other").otherwise("same").alias("s"))
+    df = df.union(spark.createDataFrame([("cold", 1, "same")], df.schema)).repartition(8)
+    together = "spark.sql.adaptive.coalescePartitions.enabled"      # small runs are not put together, so that they have borders
+    before = spark.conf.get(together)
+    spark.conf.set(together, "false")
+    try:
+        assert G.sorted_runs(df.withColumn("c", F.monotonically_increasing_id()), ["k", "n", "c"]).groupBy("_run").count().count() == 4
+        got = _rows(G.drop_adjacent(df, ["k", "n"], ["k", "s"]))
+    finally:
+        spark.conf.set(together, before)
+    assert got == [("cold", 1, "same"), ("hot", 0, "same"), ("hot", 9000, "other"), ("hot", 9002, "same")]
+    assert _rows(G.drop_adjacent(df, ["k", "n"], ["k", "s"])) == got
+    assert G.drop_adjacent(df.limit(0), ["k", "n"]).count() == 0
