@@ -87,19 +87,26 @@ def maximal(df: DataFrame, **columns: str) -> DataFrame:
 
 def render(df: DataFrame, kept: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
            role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """The kept conversations as text, in pieces of ``SEGMENT`` turns at most.
+    """The kept conversations as text, in pieces of ``SEGMENT`` turns (the last one fewer).
 
-    One row per piece: conv_id, part (segment of turn numbers), piece (in the part), depth,
-    copies, n_turns, rendered.  A part has several pieces only if turn numbers repeat.
+    One row per piece: conv_id, part (segment of turn numbers in which it begins), piece (from 0 in the
+    conversation, by the turns' places, however they are numbered), depth, copies, n_turns, rendered.
     """
     turns = _turns(df, conv_col, turn_col, role_col, text_col)
     rows = turns.alias("t").join(kept.alias("k").hint("merge"), _same("t", "k", "conv_id")).select("t.*", "depth", "copies")
     said = F.struct("turn", "role", "h1", "h2")
     once = rows.withColumn("before", F.lag(said).over(_in_order())).where(~said.eqNullSafe(F.col("before")))
-    pieces = (once.withColumn("place", F.row_number().over(_in_order()))
-              .withColumn("piece", F.floor((F.col("place") - 1) / SEGMENT))
-              .groupBy("conv_id", "part", "piece", "depth", "copies")
-              .agg(F.array_sort(F.collect_list(F.struct("place", "role", "text"))).alias("turns")))
+    placed = once.withColumn("place", F.row_number().over(_in_order()))
+    earlier = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # Counted from the hashes, not from the texts: one narrow pass more, and the texts move once less.
+    hashed = turns.select("conv_id", "part", "turn", "role", "h1", "h2").distinct()
+    counts = (hashed.groupBy("conv_id", "part").agg(F.count(F.lit(1)).alias("n"))
+              .withColumn("c", F.coalesce(F.sum("n").over(earlier), F.lit(0))))
+    pieces = (placed.alias("i").join(counts.alias("p").hint("merge"), _same("i", "p", "conv_id", "part"))
+              .select("i.*", F.floor((F.col("c") + F.col("place") - 1) / SEGMENT).alias("piece"))
+              .groupBy("conv_id", "piece", "depth", "copies")
+              .agg(F.min("part").alias("part"),
+                   F.array_sort(F.collect_list(F.struct("part", "place", "role", "text"))).alias("turns")))
     line = F.transform("turns", lambda t: F.concat(F.lit("<|"), t["role"], F.lit("|>\n"), t["text"], F.lit("<|end|>\n")))
     return pieces.select("conv_id", "part", "piece", "depth", "copies", F.size("turns").cast("bigint").alias("n_turns"),
                          F.array_join(line, "").alias("rendered"))

@@ -70,6 +70,16 @@ def test_equal_conversations_numbered_differently(spark):
     assert collapsed(df) == brute(spark, rows) and [r["copies"] for r in C.maximal(df).collect()] == [3]
 
 
+def test_pieces_do_not_depend_on_the_numbering(spark):
+    long = C.SEGMENT + 40
+    rows = [(1, 254 + t, "user", f"a {t}") for t in range(5)] + [(2, 1000 * t - 7, "user", f"b {t}") for t in range(long)]
+    rows += [(3, None, "user", f"c {t}") for t in range(long)]
+    df = spark.createDataFrame(rows, DDL)
+    assert collapsed(df) == brute(spark, rows)
+    assert sorted((r["conv_id"], r["piece"], r["n_turns"]) for r in C.collapse(df).collect()) == [
+        (1, 0, 5), (2, 0, C.SEGMENT), (2, 1, 40), (3, 0, C.SEGMENT), (3, 1, 40)]
+
+
 def test_empty_table_and_extra_columns(spark, as_tables):
     empty = spark.createDataFrame([], DDL + ", part string")
     assert op9_chat_collapse(spark, as_tables(conversations=empty)).collect() == []
