@@ -326,8 +326,9 @@ def labelled_table(spark: SparkSession, corpus: DataFrame, text_col: str = "text
     rows = [(f"drawn-{i}", *_drawn(rng)) for i in range(SENTENCES)]
     texts = (corpus.where(F.col(text_col).isNotNull()).select(F.substring(text_col, 1, SAMPLE_CHARS).alias("text"))
              .withColumn("pick", F.xxhash64("text")))
-    # Only about three times the sample, copies once, leaves the tasks, at any size of the corpus.
-    share = 3 * SAMPLE_TEXTS / max(corpus.count(), 1)
+    # Only about three times the sample, copies once, leaves the tasks, at any size of the corpus and whatever its copies.
+    different = texts.agg(F.approx_count_distinct("pick")).first()[0]
+    share = 3 * SAMPLE_TEXTS / max(different, 1)
     sample = (texts.where(low_hash(F.col("pick"), share)).dropDuplicates(["pick"])
               .orderBy("pick").limit(SAMPLE_TEXTS).collect())
     for i, row in enumerate(sample):
