@@ -1,7 +1,8 @@
 """Main-text extraction: gradient-boosted trees over DOM nodes, decoded down the tree.
 
-A page is parsed into block elements (inline elements belong to the block they
-stand in).  Boosted trees estimate from each block's features (tag, attribute
+A page is parsed into block elements.  Inline and unknown elements belong to the block they
+stand in, but those that are hidden or whose attributes tell of adverts or notices are
+nodes of their own within its line.  Boosted trees estimate from each block's features (tag, attribute
 tokens of itself and its ancestors, text and link density of its subtree, depth,
 siblings) whether it holds main text.  Decoding picks the most likely choice in
 which a block is kept only if its parent is, so that an ancestor and a
@@ -16,7 +17,9 @@ Defined results
   off inside a tag is read as far as it goes;
 * character references are decoded, white space in a block becomes one space, blocks are
   joined by a line break in page order; ``br`` is white space; nothing else is dropped or capped;
-* scripts, styles, templates, comments and the head never give text;
+* scripts, styles, templates, comments, frames and the head never give text; formulas, drawings and
+  the fallback text of objects, media and ``noscript`` are text like any other;
+* a self-closed element within ``svg`` or ``math``, or one of these two, ends where it stands;
 * a page is processed whole in time linear in its length, however deep it nests;
 * rows stay one to one, repeated rows included; extra columns pass through, an output
   column whose name is taken gets a leading underscore; empty tables give empty results.
@@ -41,7 +44,8 @@ from loanlife.llm.common import free_name
 
 # Element kinds of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("head title script style template noscript iframe object svg math canvas audio video".split())
+SILENT = frozenset("head title script style template iframe".split())
+FOREIGN = ("svg", "math")
 BLOCKS = frozenset(
     "html body address article aside blockquote button center dd details dialog div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr label legend li main menu nav ol option p pre section select "
@@ -58,6 +62,9 @@ GROUPS = (("nav", "menu"), ("header",), ("footer",), ("aside",), ("form", "field
           ("button", "select", "option", "label", "textarea"), ("blockquote", "pre", "address"),
           ("figure", "figcaption"), ("html", "body"))
 GROUP_OF = {tag: i for i, tags in enumerate(GROUPS) for tag in tags}
+# Attribute tokens that make a node of an element inside a block (a span, a custom element).
+INLINE_TELLING = frozenset("ad ads advert advertisement adbox adslot adsbygoogle banner sponsor sponsored promo promotion "
+                           "cookie consent newsletter subscribe share sharing".split())
 LANDMARKS = ("nav", "header", "footer", "aside", "form", "article", "main")
 
 TREES, DEPTH, RATE, BINS = 60, 5, 0.2, 32
@@ -108,19 +115,20 @@ class Dom(HTMLParser):
             if at > self._last(scope):
                 self._pop_to(at)
         block = self.stack[-1][1]
-        if tag in BLOCKS:
-            if tag not in SILENT:
-                self.events.append((block, None))
-            attrs = dict(attrs)
-            words = " ".join(attrs.get(a) or "" for a in ("class", "id", "role", "aria-label", "itemprop"))
-            hidden = "hidden" in attrs or "display:none" in (attrs.get("style") or "").replace(" ", "").lower()
-            self.tokens.append([t.lower() for t in _token.findall(words)] + ["hidden"] * hidden)
-            self.labels.append(attrs.get("data-main"))
+        if tag in BLOCKS and tag not in SILENT:
+            self.events.append((block, None))
+        elif tag == "br":
+            self.events.append((block, " "))
+        told = dict(attrs)
+        words = " ".join(told.get(a) or "" for a in ("class", "id", "role", "aria-label", "itemprop"))
+        hidden = "hidden" in told or "display:none" in (told.get("style") or "").replace(" ", "").lower()
+        tokens = [t.lower() for t in _token.findall(words)] + ["hidden"] * hidden
+        if tag in BLOCKS or tag not in VOID and (hidden or not INLINE_TELLING.isdisjoint(tokens)):
+            self.tokens.append(tokens)
+            self.labels.append(told.get("data-main"))
             self.tags.append(tag)
             self.parents.append(block)
             block = len(self.tags) - 1
-        elif tag == "br":
-            self.events.append((block, " "))
         if tag in VOID:
             return
         self.open_at[tag].append(len(self.stack))
@@ -130,7 +138,10 @@ class Dom(HTMLParser):
             self.silent += tag in SILENT
 
     def handle_startendtag(self, tag, attrs):
+        ends_here = tag not in VOID and (tag in FOREIGN or any(self.open_at[t] for t in FOREIGN))
         self.handle_starttag(tag, attrs)
+        if ends_here and len(self.stack) > 1 and self.stack[-1][0] == tag:
+            self._pop_to(len(self.stack) - 1)
 
     def handle_endtag(self, tag):
         at = self.open_at[tag][-1] if self.open_at[tag] else -1
@@ -410,6 +421,10 @@ def drawn_page(rng: random.Random) -> str:
             inner = prose()
             if rng.random() < 0.25:
                 inner += " " + link() + " " + prose()
+            if rng.random() < 0.1:
+                tag = rng.choice(("span", "span", "ins", "ad-unit", "em"))
+                inner += el(tag, 0, rng.choice((words(1, 6), prose(), link())), rng.choice((" hidden", f' class="{rng.choice(inline)}"')))
+                inner += " " + prose()
             return el("p", 1, inner, attrs(MAIN_WORDS, 0.1))
         if kind < 11:
             return f'<p data-main="1"><b>{prose()}<br>'
@@ -424,6 +439,7 @@ def drawn_page(rng: random.Random) -> str:
         rows = "".join(el("tr", 1, "".join(el("td", 1, words(1, 5)) for _ in range(3))) for _ in range(rng.randint(1, 4)))
         return rng.choice((el("table", 1, rows), el("figure", 1, "<img src='x.png'>" + el("figcaption", 1, prose()))))
 
+    inline = sorted(INLINE_TELLING)
     title = rng.choice(("", *[el("h1", 1, prose() if rng.random() < 0.7 else words(1, 12))] * 5))
     if title and rng.random() < 0.15:
         title = el("header", 1, title)

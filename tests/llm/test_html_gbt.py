@@ -66,8 +66,29 @@ def test_markup(model, page, want):
     assert model.extract([page]) == [want]
 
 
+@pytest.mark.parametrize("block,want", [
+    ("Energy is <math><mi>E</mi></math> here, as they say.", "Energy is E here, as they say."),
+    ("<noscript>Plain words</noscript> of a text, and more.", "Plain words of a text, and more."),
+    ("Before it <svg/> and after it, in one line.", "Before it and after it, in one line."),
+    ("A drawing <svg><title/><path d='M0'/><text>label</text></svg> stands, they say.", "A drawing label stands, they say."),
+    ("A clip <video src=x>can not be shown</video>, sadly.", "A clip can not be shown, sadly."),
+    ("An <object data=x>old <b>kind</b></object> of <canvas>thing</canvas>, really.", "An old kind of thing, really."),
+    ("Some text<span class='ad-slot'>Buy it now</span> goes on, as before.", "Some text goes on, as before."),
+    ("Some text<x-unit class='sponsored'>Buy it now</x-unit> goes on, as before.", "Some text goes on, as before."),
+    ("Some text<span hidden>not for you</span> goes on, as before.", "Some text goes on, as before."),
+    ("Some <span class='term'>text</span> goes <my-word>on</my-word>, as before.", "Some text goes on, as before.")])
+def test_inline_and_foreign_elements(model, block, want):
+    # Pages of another make than the drawn ones.
+    pages = [f"<html><body><nav><a href=/>Home</a></nav><{tag}{attr}><h1>A headline</h1><p>First comes a sentence, then another one.</p>"
+             f"<p>{block}</p><p>Last comes a sentence, and it ends here.</p></{tag}><footer>(c) us</footer></body></html>"
+             for tag, attr in (("article", ""), ("main", ""), ("div", " class='post-content'"))]
+    whole = f"A headline\nFirst comes a sentence, then another one.\n{want}\nLast comes a sentence, and it ends here."
+    assert model.extract(pages) == [whole] * 3
+
+
 def test_hostile_pages_end(model):
-    for page in ("<" * 50000, "<div>" * 30000, "<b>" * 30000 + "<li>" * 3000, "<!--" * 20000, "<p>" + LONG, "</p>" * 30000, "&" * 50000):
+    for page in ("<" * 50000, "<div>" * 30000, "<b>" * 30000 + "<li>" * 3000, "<!--" * 20000, "<p>" + LONG, "</p>" * 30000, "&" * 50000, "<svg>" * 30000 + "<a/>" * 30000,
+                 "<span hidden>" * 30000):
         model.extract([page])
     assert model.extract(["<article><p>" + LONG + "</p></article>"]) == [LONG.strip()]
 
