@@ -70,20 +70,17 @@ def op6_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archives are written when the query is built; revisits are read by their headers alone."""
+    """Archives are written when the query is built and read once: lengths and digests of responses are those of
+    the payloads read, those of revisits, which have none, of their headers."""
     ship_package(spark)
     warc.register(spark)
     path = scratch_path(spark, "warc")
     warc.records(table(spark, sf_dir, "pages")).write.format("warc").mode("append").save(path)
-    archive = spark.read.format("warc")
-    responses = archive.load(path).where("record_type = 'response'").withColumn(
-        "read_bytes", F.octet_length("payload").cast("bigint")).drop("payload")
-    headers = [f for f in warc.SCHEMA.split(", ") if not f.startswith("payload binary")]
-    revisits = (archive.schema(", ".join(headers)).load(path).where("record_type = 'revisit'")
-                .withColumn("read_bytes", F.lit(None).cast("bigint")))
-    return responses.unionByName(revisits).select(
+    archive = spark.read.format("warc").load(path).where(F.col("record_type").isin("response", "revisit"))
+    return archive.select(
         F.expr("try_cast(substring_index(record_id, ':', -1) as bigint)").alias("page_id"),
-        F.coalesce("read_bytes", "payload_length").alias("payload_bytes"), "payload_digest", "record_type",
+        F.coalesce(F.octet_length("payload").cast("bigint"), "payload_length").alias("payload_bytes"),
+        F.coalesce(warc.base32(F.sha1("payload")), "payload_digest").alias("payload_digest"), "record_type",
         F.expr("try_cast(substring_index(refers_to, ':', -1) as bigint)").alias("refers_to"))
 
 

@@ -3,7 +3,8 @@
 ``df.write.format("warc")`` writes one gzip member per record; a member's extra
 field (subfield ``sl``) holds its compressed size, so that a reader can step
 over a record it does not want.  Files are named in a manifest at commit: files
-of failed or repeated attempts are never read.
+of failed or repeated attempts are never read.  A folder without a manifest is another
+writer's: all its ``.warc.gz`` files are read, nested ones included.
 
 ``spark.read.format("warc")`` plans one partition per file, takes equality, IN,
 prefix, suffix, substring and null predicates on the header columns, parses the headers of
@@ -16,6 +17,10 @@ Defined results
 * bytes of the payload are written and read unchanged, whole, of any length below 2 GB;
 * a revisit record has no payload of its own: ``payload`` is null, ``payload_digest``
   and ``payload_length`` describe the payload of the record it refers to;
+* header names count without case; the payload of a record is what follows the head of an HTTP message,
+  or else the whole block; a record without a length is read to its end;
+* a folder with neither a manifest nor archives, a file that is not gzip and an archive that
+  breaks off are errors, never fewer rows;
 * line breaks in header values become spaces; an empty table gives an archive without
   records; columns beyond the schema are not written.
 """
@@ -87,7 +92,7 @@ class Members:
     """The gzip members of an open file: heads first, bodies on demand."""
 
     def __init__(self, file):
-        self.file, self.buffer = file, b""
+        self.file, self.buffer = file, bytearray()      # cheap to extend, and to cut at the front
 
     def _fill(self, size: int) -> bool:
         while len(self.buffer) < size:
@@ -99,7 +104,9 @@ class Members:
 
     def __iter__(self) -> Iterator[tuple[dict[str, str], object]]:
         """(headers, function that returns the block's bytes) of each record."""
-        while self._fill(10):
+        while self._fill(1):
+            if not self._fill(10) or self.buffer[:3] != b"\x1f\x8b\x08":
+                raise ValueError("not a gzip member where a record should begin")
             flags, start = self.buffer[3], 10
             size = None
             if flags & 4:
@@ -130,12 +137,11 @@ class Members:
                 text += inflate.decompress(piece, 4096)
             head, _, rest = text.partition(b"\r\n\r\n")
             headers = dict(line.partition(":")[::2] for line in head.decode("utf-8", "replace").split("\r\n")[1:])
-            headers = {k.strip(): v.strip() for k, v in headers.items()}
+            headers = {k.strip().lower(): v.strip() for k, v in headers.items()}
             state = {"at": at, "rest": rest, "inflate": inflate}
 
             def block(state=state, headers=headers) -> bytes:
-                want, parts = int(headers.get("Content-Length", 0)), [state["rest"]]
-                got, inflate = len(state["rest"]), state["inflate"]
+                told, parts, inflate = headers.get("content-length", ""), [state["rest"]], state["inflate"]
                 while not inflate.eof:
                     piece = inflate.unconsumed_tail
                     if not piece:
@@ -144,10 +150,9 @@ class Members:
                         state["at"] += len(piece)
                         if not piece:
                             raise ValueError("the archive ends within a record")
-                    part = inflate.decompress(piece)
-                    got += len(part)
-                    parts.append(part)
-                return b"".join(parts)[:want]
+                    parts.append(inflate.decompress(piece))
+                whole = b"".join(parts)
+                return whole[:int(told)] if told.isdecimal() else whole.removesuffix(b"\r\n\r\n")
 
             yield headers, block
             if size is None:
@@ -155,21 +160,29 @@ class Members:
                 size = state["at"] - len(state["inflate"].unused_data) + 8
             if not self._fill(size):
                 raise ValueError("the archive ends within a record")
-            self.buffer = self.buffer[size:]
+            del self.buffer[:size]
 
 
 def header_values(headers: dict[str, str]) -> dict:
-    values = {column: headers.get(field) for column, field in HEADER_OF.items()}
+    values = {column: headers.get(field.lower()) for column, field in HEADER_OF.items()}
     for column in ("record_id", "refers_to"):
         if values[column] is not None:
             values[column] = values[column].removeprefix("<").removesuffix(">")
     if values["payload_digest"] is not None:
         values["payload_digest"] = values["payload_digest"].removeprefix("sha1:")
     if values["payload_length"] is not None:
-        values["payload_length"] = int(values["payload_length"])
+        told = values["payload_length"]
+        values["payload_length"] = int(told) if told.isdecimal() else None
     return values
 
 
+def payload_of(headers: dict[str, str], block: bytes) -> bytes:
+    """What follows the head of an HTTP message, the whole block of any other record."""
+    if headers.get("content-type", "").lower().startswith("application/http") or block.startswith(b"HTTP/"):
+        return block.partition(b"\r\n\r\n")[2]
+    return block
+
+
 def passes(values: dict, filters: list) -> bool:
     for f in filters:
         value = values[f.attribute[0]]
@@ -221,11 +234,18 @@ class WarcReader(DataSourceReader):
 
     def partitions(self):
         store, root = fs.FileSystem.from_uri(self.path)
-        names = []
+        names, manifests = [], 0
         for info in store.get_file_info(fs.FileSelector(root)):
             if info.base_name.startswith(MANIFEST):
+                manifests += 1
                 with store.open_input_stream(info.path) as f:
                     names += f.read().decode().split()
+        if not manifests:
+            every = store.get_file_info(fs.FileSelector(root, recursive=True))
+            foreign = sorted(i.path for i in every if i.is_file and i.base_name.endswith(".warc.gz"))
+            if not foreign:
+                raise FileNotFoundError(f"neither a manifest nor archives in {self.path}")
+            return [ArchiveFile(p) for p in foreign]
         return [ArchiveFile(f"{root}/{n}") for n in sorted(names)]
 
     def read(self, partition):
@@ -248,7 +268,7 @@ class WarcReader(DataSourceReader):
                     continue
                 values["payload"] = None
                 if "payload" in self.columns and values["record_type"] != "revisit":
-                    values["payload"] = block().partition(b"\r\n\r\n")[2]
+                    values["payload"] = payload_of(headers, block())
                     held += len(values["payload"])
                 rows.append(values)
                 if len(rows) >= BATCH_ROWS or held >= BATCH_BYTES:

@@ -77,7 +77,7 @@ def test_predicates_are_pushed_and_payloads_skipped(spark, pages, monkeypatch):
     for part in reader.partitions():
         with open(part.path, "rb") as f:
             for headers, block in W.Members(f):
-                if headers["WARC-Type"] == "response" and headers["X-Payload-Length"] == "0":
+                if headers["warc-type"] == "response" and headers["x-payload-length"] == "0":
                     decoded.append(block())
     assert decoded == [W.HTTP_HEAD] * 1
 
@@ -89,6 +89,46 @@ def test_foreign_members_without_sizes(spark):
     assert got == [None, rows[1]["payload"], None, rows[3]["payload"]]
 
 
+def foreign(path, name, *members):
+    import pathlib
+    file = pathlib.Path(urllib.parse.urlparse(path).path) / name
+    file.parent.mkdir(parents=True, exist_ok=True)
+    file.write_bytes(b"".join(members))
+
+
+def test_archives_of_another_writer(spark):
+    W.register(spark)
+    path = scratch_path(spark, "foreign")
+    http = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n<p>hi</p>\r\n\r\nmore"
+    info = b"software: crawler\r\n\r\nformat: WARC"
+
+    def member(block, *lines, length=True):
+        head = ["WARC/1.0", *lines] + [f"content-length: {len(block)}"] * length
+        return gzip.compress("\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n")
+
+    foreign(path, "a.warc.gz", member(info, "WARC-Type: warcinfo", "WARC-Record-ID: <urn:x:0>", "Content-Type: application/warc-fields"),
+            member(http, "warc-type: response", "WARC-RECORD-ID: <urn:x:1>", "Content-Type: application/http; msgtype=response"))
+    foreign(path, "deep/b.warc.gz", member(b"plain \r\n\r\n text", "WARC-Type: resource", "WARC-Record-ID: <urn:x:2>", length=False),
+            member(b"z" * 3_000_000, "WARC-Type: conversion", "WARC-Record-ID: <urn:x:3>", "X-Payload-Length: many"),
+            member(b"", "WARC-Type: metadata", "WARC-Record-ID: <urn:x:4>"))
+    foreign(path, "notes.txt", b"no archive")
+    got = {r["record_id"]: (r["record_type"], bytes(r["payload"]), r["payload_length"]) for r in spark.read.format("warc").load(path).collect()}
+    assert got == {"urn:x:0": ("warcinfo", info, None), "urn:x:1": ("response", b"<p>hi</p>\r\n\r\nmore", None),
+                   "urn:x:2": ("resource", b"plain \r\n\r\n text", None), "urn:x:3": ("conversion", b"z" * 3_000_000, None),
+                   "urn:x:4": ("metadata", b"", None)}
+    assert [r["record_id"] for r in spark.read.format("warc").load(path).where("record_type = 'response'").collect()] == ["urn:x:1"]
+
+
+@pytest.mark.parametrize("name,data", [("a.txt", b"nothing"), ("a.warc.gz", b"WARC/1.0 as plain text"),
+                                       ("a.warc.gz", gzip.compress(b"WARC/1.0\r\nWARC-Type: response\r\n\r\n" + hashlib.sha512(b"x").digest() * 9)[:-40])])
+def test_what_is_no_archive_is_an_error(spark, name, data):
+    W.register(spark)
+    path = scratch_path(spark, "broken")
+    foreign(path, name, data)
+    with pytest.raises(Exception, match="neither a manifest|not a gzip member|ends within a record"):
+        spark.read.format("warc").load(path).collect()
+
+
 def test_only_files_of_a_manifest_are_read(spark, pages):
     path = written(spark, W.records(pages))
     stray = files(path)[0].with_name("stray.warc.gz")
