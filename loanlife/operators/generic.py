@@ -219,11 +219,36 @@ def with_lags(df: DataFrame, key: str, order: Sequence[Column], lags: dict[str,
 
 # --- joins ---------------------------------------------------------------------
 
-def keys_flagged(df: DataFrame, key, cond: Column) -> DataFrame:
-    """All rows of keys that have at least one row meeting ``cond`` (semi join)."""
+# Bits of a key filter: for each expected key, and at most (in words of 64), which bounds what is broadcast.
+KEY_BITS, MOST_WORDS = 16, 1 << 20
+
+
+def likely_flagged(df: DataFrame, key, cond: Column, expected: int = 1 << 20) -> DataFrame:
+    """Rows whose key may have a row meeting ``cond``: all that have one, and few others.
+
+    A Bloom filter with one hash: every flagged key sets one of ``KEY_BITS`` bits for each key expected.  The
+    filter is an aggregate (``bit_or`` per word, combined on the map side) of ``MOST_WORDS`` words at most, whatever the
+    data, so that it may be broadcast; rows are tested where they are, without a shuffle.  With
+    more flagged keys than expected it lets more rows through, never fewer.
+    """
+    words = min(MOST_WORDS, 1 << max(0, (expected * KEY_BITS // 64 - 1).bit_length()))
+    at = F.pmod(F.xxhash64(*_cols(key)), F.lit(words * 64).cast("bigint"))
+    word, bit = F.shiftright(at, 6), at.bitwiseAND(F.lit(63)).cast("int")
+    mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    filled = df.where(cond).groupBy(word.alias("_word")).agg(F.bit_or(mask).alias("_mask"))
+    tested = df.withColumns({"_at": word, "_bit": bit}).join(F.broadcast(filled), F.col("_at") == F.col("_word"))
+    return tested.where(F.call_function("shiftrightunsigned", F.col("_mask"), F.col("_bit")).bitwiseAND(F.lit(1)) == 1).select(
+        *df.columns)
+
+
+def keys_flagged(df: DataFrame, key, cond: Column, expected: int = 1 << 20) -> DataFrame:
+    """All rows of keys that have at least one row meeting ``cond``.
+
+    An exact semi join behind ``likely_flagged``: rows of other keys mostly never reach the shuffle.
+    """
     keys = _cols(key)
     flagged = df.where(cond).select(*keys).distinct()
-    return df.join(flagged, keys, "left_semi")
+    return likely_flagged(df, key, cond, expected).join(flagged, keys, "left_semi")
 
 
 def enrich(left: DataFrame, key, right: DataFrame, right_key, aggs: Sequence[Column]) -> DataFrame:

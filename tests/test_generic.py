@@ -93,3 +93,19 @@ def test_a_spell_longer_than_any_task_is_one_row(spark):
     assert got == [("cold", 1, "same"), ("hot", 0, "same"), ("hot", 9000, "other"), ("hot", 9002, "same")]
     assert _rows(G.drop_adjacent(df, ["k", "n"], ["k", "s"])) == got
     assert G.drop_adjacent(df.limit(0), ["k", "n"]).count() == 0
+
+
+def test_few_rows_but_those_of_flagged_keys_reach_the_semi_join(spark):
+    # 1 % of 20,000 keys are flagged; one of them, and one that is not, hold a third of all rows each.
+    n = F.col("id")
+    key = F.when(n % 3 == 0, 100).when(n % 3 == 1, 7).otherwise(n % 20000)
+    df = spark.range(300000).select(F.when(n > 5, key).alias("k"), n, (key % 100 == 0).alias("flag"))
+    want = df.join(df.where("flag").select("k").distinct(), "k", "left_semi").count()
+    assert G.keys_flagged(df, "k", F.col("flag")).count() == want > 100000
+    assert want <= G.likely_flagged(df, "k", F.col("flag")).count() <= 1.02 * want
+    # A filter much too small lets rows through, and the result is the same.
+    assert _rows(G.keys_flagged(df, ["k"], F.col("flag"), expected=1).groupBy("k").count()) == _rows(
+        G.keys_flagged(df, "k", F.col("flag")).groupBy("k").count())
+    assert G.likely_flagged(df, "k", F.col("flag"), expected=1 << 40).count() >= want
+    assert G.keys_flagged(df, ["k", "id"], F.col("flag")).count() == df.where("flag AND k IS NOT NULL").count()
+    assert G.keys_flagged(df, "k", F.lit(False)).count() == G.keys_flagged(df.limit(0), "k", F.col("flag")).count() == 0
