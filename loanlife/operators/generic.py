@@ -236,9 +236,10 @@ def likely_flagged(df: DataFrame, key, cond: Column, expected: int = 1 << 20) ->
     word, bit = F.shiftright(at, 6), at.bitwiseAND(F.lit(63)).cast("int")
     mask = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
     filled = df.where(cond).groupBy(word.alias("_word")).agg(F.bit_or(mask).alias("_mask"))
-    tested = df.withColumns({"_at": word, "_bit": bit}).join(F.broadcast(filled), F.col("_at") == F.col("_word"))
-    return tested.where(F.call_function("shiftrightunsigned", F.col("_mask"), F.col("_bit")).bitwiseAND(F.lit(1)) == 1).select(
-        *df.columns)
+    is_set = F.call_function("shiftrightunsigned", F.col("_mask"), F.col("_bit")).bitwiseAND(F.lit(1)) == 1
+    # A semi join: below an inner one the optimizer would put the exact semi join that follows first.
+    return df.withColumns({"_at": word, "_bit": bit}).join(
+        F.broadcast(filled), (F.col("_at") == F.col("_word")) & is_set, "left_semi").select(*df.columns)
 
 
 def keys_flagged(df: DataFrame, key, cond: Column, expected: int = 1 << 20) -> DataFrame:
