@@ -24,7 +24,7 @@ import base64
 import heapq
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -49,7 +49,7 @@ WHITE_SPACE = ((0x09, 0x0D), (0x20, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680,
 ONE_LETTER_ENDINGS = ("s", "t", "m", "d")
 TWO_LETTER_ENDINGS = ("re", "ve", "ll")
 
-CHUNK_CHARS = 1 << 20     # characters scanned at once
+CHUNK_CHARS = 1 << 18     # characters scanned at once: some 50 bytes of scratch for each
 CACHE_ENTRIES = 100_000   # pieces of a generation; a worker remembers two, the older one goes
 CACHE_PIECE = 64          # longer pieces are not remembered
 
@@ -245,7 +245,7 @@ class Codec:
     """Ranks with a bounded cache of merged pieces; one per Python worker and vocabulary."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks, self.joins, self.cache, self.older = ranks, Joins(ranks), {}, {}
+        self.ranks, self.cache, self.older = ranks, {}, {}
         size = max(ranks.values()) + 1
         pieces = [b""] * size
         for piece, rank in ranks.items():
@@ -254,6 +254,11 @@ class Codec:
         self.begin = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(pieces), dtype=np.uint8)
 
+    @cached_property
+    def joins(self) -> Joins:
+        """Made by the first piece that is merged: workers that only decode never hold it."""
+        return Joins(self.ranks)
+
     def ids_of(self, piece: str) -> tuple[int, ...]:
         ids = self.older.get(piece)
         if ids is None:

@@ -1,5 +1,6 @@
 import hashlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -82,3 +83,11 @@ def test_chunks(sizes, limit, want):
 def test_both_ways_of_merging_agree(piece):
     if piece not in CODEC.ranks:
         assert CODEC.joins.merge(piece) == B.merge(piece, CODEC.ranks)
+
+
+def test_a_codec_that_only_decodes_holds_no_joins():
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"abc": 257}
+    codec = B.Codec(ranks)
+    out, bounds = codec.decode(np.array([256, 99]), np.array([0, 2]), np.array([0, 2]))
+    assert out.tobytes() == b"abc" and bounds.tolist() == [0, 3] and "joins" not in vars(codec)
+    assert codec.encode(["abx"])[0].tolist() == [256, 120] and "joins" in vars(codec)
