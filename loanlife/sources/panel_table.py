@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlife.operators import segments as S
-from loanlife.operators.detail import dedupe_panel, year_group
+from loanlife.operators.detail import dedupe_panel, drop_adjacent_copies, year_group
 from loanlife.operators.master import master_from_events
 
 LAYOUT = "buckets int, ddl string, key string, part string"
@@ -49,8 +49,8 @@ class PanelTable:
                            f"SORTED BY ({self.key}, {S.SEG}, period) INTO {self.buckets} BUCKETS LOCATION '{self.path}/{part}'")
         return self.names[part]
 
-    def _write(self, dealt: DataFrame, number: int, mode: str) -> None:
-        rows = dealt.repartition(self.buckets, self.key, S.SEG)
+    def _write(self, dealt: DataFrame, number: int, mode: str, placed: bool = False) -> None:
+        rows = dealt if placed else dealt.repartition(self.buckets, self.key, S.SEG)
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
         part = f"rows-{number:06}-{uuid.uuid4().hex}"
         name = self._table(part, ddl)
@@ -60,11 +60,13 @@ class PanelTable:
          .write.mode(mode).json(f"{self.path}/layout"))
 
     def append(self, svcg: DataFrame) -> None:
-        """Add typed rows; copies among them are removed."""
-        kept, dealt = self._layout(), S.deal(svcg, year_group(), self.key)
+        """Add typed rows; copies among them are removed.  Rows with their year as ``seg`` that lie dealt by loan and
+        ``seg`` over as many tasks as there are buckets are written where they are."""
+        kept, placed = self._layout(), S.SEG in svcg.columns
+        dealt = drop_adjacent_copies(svcg, self.key, S.SEG) if placed else S.deal(svcg, year_group(), self.key)
         if kept and set(self.dealt().dtypes) != set(dealt.dtypes):
             raise ValueError(f"columns differ from those of {self.path}: {kept[0]['ddl']}")
-        self._write(dealt, len(kept), "append")
+        self._write(dealt, len(kept), "append", placed)
 
     def dealt(self) -> DataFrame:
         """All rows without copies, with their year as ``seg``, partitioned by loan and year as they lie."""
