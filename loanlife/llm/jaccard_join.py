@@ -65,9 +65,15 @@ MULTIPLIERS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.
 def scramble(x: np.ndarray) -> np.ndarray:
     """Mixes 64-bit numbers (multiply and shift, wrapping around)."""
     x = x + MULTIPLIERS[0]
-    x = (x ^ (x >> np.uint64(30))) * MULTIPLIERS[1]
-    x = (x ^ (x >> np.uint64(27))) * MULTIPLIERS[2]
-    return x ^ (x >> np.uint64(31))
+    x ^= x >> np.uint64(30)
+    x *= MULTIPLIERS[1]
+    x ^= x >> np.uint64(27)
+    x *= MULTIPLIERS[2]
+    x ^= x >> np.uint64(31)
+    return x
+
+
+PLACES = scramble(np.arange(1, SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)     # a factor for each place in a shingle
 
 
 def shingle_set(text: str) -> np.ndarray:
@@ -79,8 +85,12 @@ def shingle_set(text: str) -> np.ndarray:
     size = min(SHINGLE, len(words))
     out = np.full(len(words) - size + 1, size, dtype=np.uint64)
     for i in range(size):
-        out = scramble(out ^ h[i:len(words) - size + 1 + i])
-    return np.unique(out)
+        out += h[i:len(words) - size + 1 + i] * PLACES[i]
+    out = scramble(out)
+    out.sort()
+    new = np.ones(len(out), dtype=bool)
+    np.not_equal(out[1:], out[:-1], out=new[1:])
+    return out[new]
 
 
 @lru_cache(maxsize=4096)
@@ -158,7 +168,7 @@ def signatures(elements: np.ndarray) -> np.ndarray:
         label = part[starts]
         content = np.add.reduceat(mixed, starts)
         if len(starts) > allowed:
-            first = np.lexsort((label, -counts))[:allowed + 1]
+            first = np.argsort(-counts, kind="stable")[:allowed + 1]      # labels ascend already
             label, content = label[first], content[first]
         else:
             empty = np.setdiff1d(np.arange(n, dtype=np.uint64), label)
