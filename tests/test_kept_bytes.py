@@ -1,0 +1,53 @@
+"""What the queries keep on disk: compressed text in files that one task can read, compact Parquet."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+from pyspark.sql import functions as F
+
+from loanlife.plans import generic_queries, queries
+from loanlife.sources import ingest, sink
+
+
+def _orders(spark, folder, n=4000):
+    (spark.range(n).select(F.col("id").alias("o_orderkey"), (F.col("id") % 700).alias("o_custkey"),
+                           (F.col("id") * 1.37 + 900).alias("o_totalprice"),
+                           F.expr("date_add(DATE'1995-01-01', CAST(id % 2300 AS INT))").alias("o_orderdate"),
+                           F.lit("1-URGENT").alias("o_orderpriority")).coalesce(1).write.parquet(f"{folder}/orders.parquet"))
+
+
+def _size(folder):
+    return sum(os.path.getsize(f) for f in glob.glob(f"{folder}/**/*", recursive=True) if os.path.isfile(f))
+
+
+def _folders(monkeypatch, tmp_path, module):
+    made = {}
+    monkeypatch.setattr(module, "scratch_path", lambda spark, name: made.setdefault(name, str(tmp_path / "scratch" / name)))
+    return made
+
+
+def test_io_roundtrip_keeps_less_than_a_third_of_its_text(spark, tmp_path, monkeypatch):
+    _orders(spark, tmp_path)
+    made = _folders(monkeypatch, tmp_path, generic_queries)
+    rows = queries.QUERIES["io_roundtrip"](spark, str(tmp_path))
+    want = generic_queries._svcg(spark, str(tmp_path))
+    assert sorted(map(str, rows.collect())) == sorted(map(str, want.collect()))
+    plain = str(tmp_path / "plain")
+    sink.write_delimited(want, plain)
+    assert _size(made["io_roundtrip"]) < _size(plain) / 3
+
+
+def test_a_compressed_file_holds_no_more_rows_than_one_task_reads(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sink, "COMPRESSED_ROWS", 100)
+    path, spec = str(tmp_path / "t"), [("a", "bigint"), ("b", "string")]
+    odd = F.element_at(F.array(*[F.lit(x) for x in ("x|y", 'q"q', "", " ", "é", None)]), (F.col("a") % 6 + 1).cast("int"))
+    rows = spark.range(950).coalesce(1).select(F.col("id").alias("a")).withColumn("b", odd)
+    sink.write_delimited(rows, path, header=True, compression="snappy")
+    files = glob.glob(f"{path}/*.snappy")
+    assert len(files) == 10
+    back = ingest.typed_parse(ingest.read_delimited(spark, path, spec, header=True), spec)
+    sink.write_delimited(rows, plain := str(tmp_path / "p"), header=True)
+    as_plain = ingest.typed_parse(ingest.read_delimited(spark, plain, spec, header=True), spec)
+    assert back.count() == 950 and sorted(map(str, back.collect())) == sorted(map(str, as_plain.collect()))
