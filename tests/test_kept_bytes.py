@@ -51,3 +51,28 @@ def test_a_compressed_file_holds_no_more_rows_than_one_task_reads(spark, tmp_pat
     sink.write_delimited(rows, plain := str(tmp_path / "p"), header=True)
     as_plain = ingest.typed_parse(ingest.read_delimited(spark, plain, spec, header=True), spec)
     assert back.count() == 950 and sorted(map(str, back.collect())) == sorted(map(str, as_plain.collect()))
+
+
+def test_a_staged_feed_and_its_text_keep_less_than_half(spark, tmp_path, monkeypatch):
+    _orders(spark, tmp_path)
+    made = _folders(monkeypatch, tmp_path, generic_queries)
+    got = sorted(map(str, queries.QUERIES["quarantine"](spark, str(tmp_path)).collect()))
+    compact = _size(made["staged"]) + _size(made["faulty"])
+    monkeypatch.setattr(ingest, "COMPACT", {})
+    write = sink.write_delimited
+    monkeypatch.setattr(sink, "write_delimited", lambda *a, compression=None, **k: write(*a, **k))
+    made = _folders(monkeypatch, tmp_path / "plain", generic_queries)
+    assert got and sorted(map(str, queries.QUERIES["quarantine"](spark, str(tmp_path)).collect())) == got
+    assert compact < (_size(made["staged"]) + _size(made["faulty"])) / 2
+
+
+def test_lines_of_compressed_files_are_counted_file_by_file(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sink, "COMPRESSED_ROWS", 40)
+    path, out, spec = str(tmp_path / "t"), str(tmp_path / "out"), [("a", "int"), ("b", "string")]
+    rows = spark.range(95).coalesce(1).select(F.when(F.col("id") % 7 == 3, F.concat(F.lit("x"), "id")).otherwise(F.col("id").cast("string")).alias("a"),
+                                              F.col("id").cast("string").alias("b"))
+    sink.write_delimited(rows, path, header=False, compression="gzip")
+    _, counts = ingest.load_feed(spark, path, spec, ("a",), out)
+    assert counts == {"rows": 95, "rejected_a": 14, "missing_a": 14}
+    got = {(r["line"], int(r["record"].split("|")[1])) for r in ingest.quarantine(spark, out).collect()}
+    assert got == {(i % 40 + 1, i) for i in range(95) if i % 7 == 3}
